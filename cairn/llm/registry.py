@@ -10,13 +10,14 @@ from cairn.llm.bpe import op5_bpe
 from cairn.llm.decontamination import OP2_SQL, op2_decontamination
 from cairn.llm.language_id import op1_language_id
 from cairn.llm.line_dedup import OP3_SQL, op3_line_dedup
+from cairn.llm.pii import op7_pii
 from cairn.llm.quality_classifier import op6_quality_classifier
 from cairn.llm.quality_rules import op10_quality_rules
 from cairn.llm.warc import OP9_SQL, op9_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_language_id, op2_decontamination, op3_line_dedup, op5_bpe, op6_quality_classifier, op9_warc, op10_quality_rules)
+    own = (op1_language_id, op2_decontamination, op3_line_dedup, op5_bpe, op6_quality_classifier, op7_pii, op9_warc, op10_quality_rules)
     return {f.__name__: f for f in own}
 
 
