@@ -65,6 +65,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return both.select(*(text.alias(c) if c == text_col else F.col(c) for c in own.columns), gone.cast("long").alias(dropped))
 
 
+def drop_repeated_lines(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The documents without repeated lines, with a count of characters brought up to date; those that lost all their lines are left out."""
+    kept = dedup_lines(docs, text_col=text_col, dropped="_removed").where((F.col("_removed") == 0) | (F.trim(text_col) != "") | F.col(text_col).isNull())
+    if chars_col in docs.columns:
+        size = F.when(F.col("_removed") > 0, F.length(text_col)).otherwise(F.col(chars_col))
+        kept = kept.withColumn(chars_col, size.cast(docs.schema[chars_col].dataType))
+    return kept.select(docs.columns)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_lines = F.coalesce(F.size(lines_of(F.col("text"))), F.lit(0)).cast("long")

@@ -14,11 +14,12 @@ from cairn.llm.ngram_join import OP8_SQL, op8_ngram_jaccard
 from cairn.llm.pii import op7_pii
 from cairn.llm.quality_classifier import op6_quality_classifier
 from cairn.llm.quality_rules import op10_quality_rules
+from cairn.llm.substring_dedup import op4_substring_dedup
 from cairn.llm.warc import OP9_SQL, op9_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_language_id, op2_decontamination, op3_line_dedup, op5_bpe, op6_quality_classifier, op7_pii, op8_ngram_jaccard, op9_warc, op10_quality_rules)
+    own = (op1_language_id, op2_decontamination, op3_line_dedup, op4_substring_dedup, op5_bpe, op6_quality_classifier, op7_pii, op8_ngram_jaccard, op9_warc, op10_quality_rules)
     return {f.__name__: f for f in own}
 
 

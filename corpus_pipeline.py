@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cairn.llm import quality_classifier
+from cairn.llm import bpe, decontamination, line_dedup, ngram_join, quality_classifier
 from cairn.llm.common import scratch_path, table
 
 
@@ -14,9 +15,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_classifier.keep_good(docs, model)
 
 
-STAGES = [("quality", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later occurrences of three-line windows; documents that consisted of nothing else go."""
+    return line_dedup.drop_repeated_lines(docs)
 
-#: Several stages are learnt or can't be written as SQL.
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least id, of each group of copies and near copies."""
+    return ngram_join.one_of_each(docs)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids and how many these are."""
+    return bpe.encode(docs).withColumn("n_tokens", F.size("token_ids").cast("long"))
+
+
+STAGES = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("leaks", leaks), ("tokens", tokens)]
+
+#: The first stage is learnt, and SQL has no BPE.
 ORACLE_SQL = None
 
 
