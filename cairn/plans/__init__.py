@@ -1 +1,6 @@
-"""Catalogue analytics on Spark."""
+"""All queries by name."""
+
+from cairn.plans import gaps, relate, search
+from cairn.plans.registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "gaps", "relate", "search"]
