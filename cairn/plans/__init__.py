@@ -1,6 +1,6 @@
 """All queries by name."""
 
-from cairn.plans import gaps, relate, search
+from cairn.plans import evaluation, gaps, ledger, relate, search
 from cairn.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "gaps", "relate", "search"]
+__all__ = ["QUERIES", "SQL", "evaluation", "gaps", "ledger", "relate", "search"]

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -26,3 +27,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
+    """The table with a broadcast hint if it has ``rows`` rows at most; else as it is, and Spark joins it by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions.text import plain_text, public_host, slug
-from cairn.scratch import materialize
+from cairn.scratch import broadcast_if, materialize
 
 COLUMNS = {
     "id": "string", "native_id": "string", "name": "string", "title": "string", "notes": "string", "record_type": "string", "source_surface": "string", "route": "string",
@@ -64,13 +64,13 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations with their regions: 25 rows, whatever the scale."""
+    """Nations with their regions."""
     region = table(spark, sf_dir, "region")
-    return table(spark, sf_dir, "nation").join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    return table(spark, sf_dir, "nation").join(broadcast_if(region, 1000), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "supplier").join(F.broadcast(places(spark, sf_dir)), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf_dir, "supplier").join(broadcast_if(places(spark, sf_dir), 1000), F.col("s_nationkey") == F.col("n_nationkey"))
     return shaped(
         rows, id=lane_id("suppliers", F.col("s_suppkey")), native_id=F.col("s_suppkey"), title=F.col("s_name"), record_type=F.lit("Supplier"), source_surface=F.lit("suppliers"),
         topics=F.array("n_name"), area_served=F.array("r_name"), publisher_title=F.col("n_name"),
@@ -78,7 +78,7 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").join(F.broadcast(places(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf_dir, "customer").join(broadcast_if(places(spark, sf_dir), 1000), F.col("c_nationkey") == F.col("n_nationkey"))
     return shaped(
         rows, id=lane_id("customers", F.col("c_custkey")), native_id=F.col("c_custkey"), title=F.col("c_name"), record_type=F.lit("Customer"), source_surface=F.lit("customers"),
         topics=F.array("c_mktsegment"), area_served=F.array("r_name"), publisher_title=F.col("n_name"), population_type=F.col("c_mktsegment"),
