@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words that the search tokenizer leaves out.
 SEARCH_STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "into", "is", "it", "of", "on", "or", "the", "to", "with")
@@ -34,7 +36,7 @@ def fold(text: Column) -> Column:
     return F.replace(F.lower(F.translate(text, MARKED, BASE)), F.lit("ß"), F.lit("ss"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_any(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without marks, case-folded, for any script."""
     return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).casefold())
@@ -64,7 +66,7 @@ def browser_tokens(text: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """HTML entities by name and number, in one pass."""
-    names = F.create_map(*(F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))))
+    names = F.from_json(F.lit(json.dumps({name: chr(code) for name, code in sorted(name2codepoint.items())})), "map<string,string>")
 
     def one(piece: Column) -> Column:
         name = F.regexp_extract(piece, "^&(#?[0-9A-Za-z]+);", 1)
@@ -89,8 +91,9 @@ def plain_text(html: Column, limit: int = 10_000) -> Column:
     return bounded(F.trim(F.regexp_replace(text, r"[\s]+", " ")), limit)
 
 
-def slug(text: Column, fallback: str = "record") -> Column:
-    words = F.btrim(F.regexp_replace(F.replace(F.lower(plain_text(text, 500)), F.lit("ß"), F.lit("ss")), "[^a-z0-9]+", "-"), F.lit("-"))
+def slug(text: Column, fallback: str = "record", markup: bool = True) -> Column:
+    """Letters and digits with hyphens between, at most 180; text known to hold no markup is taken as it is."""
+    words = F.btrim(F.regexp_replace(F.replace(F.lower(plain_text(text, 500) if markup else text), F.lit("ß"), F.lit("ss")), "[^a-z0-9]+", "-"), F.lit("-"))
     return F.rtrim(F.left(F.coalesce(F.nullif(words, F.lit("")), F.lit(fallback)), F.lit(180)), F.lit("-"))
 
 

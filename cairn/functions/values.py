@@ -49,7 +49,7 @@ def mean_or_null(value: Column) -> Column:
 
 
 def text_list(values: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.transform(values, F.trim), lambda v: v.isNotNull() & (v != ""))))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v.isNotNull() & (v != ""))))
 
 
 def epoch_timestamp(value: Column) -> Column:

@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shaped(rows: DataFrame, **given: Column) -> DataFrame:
     """One record for each row: the given columns, and nulls or empty lists for the others."""
     empty = {c: F.array().cast(k) if k.startswith("array") else F.lit(None).cast(k) for c, k in COLUMNS.items()}
-    empty["name"] = slug(given["id"])
+    empty["name"] = slug(given["id"], markup=False)
     empty["route"] = F.concat(F.lit("record/"), empty["name"])
     return rows.select(*((given[c] if c in given else empty[c]).cast(k).alias(c) for c, k in COLUMNS.items()))
 
