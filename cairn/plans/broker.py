@@ -1,0 +1,54 @@
+"""Queries that answer callers' requests."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cairn.operators import broker, index
+from cairn.operators.relate import alternatives
+from cairn.plans import sql
+from cairn.plans.registry import query
+from cairn.plans.relate import PAIRS_SQL
+from cairn.plans.search import BROWSER, browser_sql
+from cairn.sources.records import records, with_ordinal
+
+LANES = ("parts", "suppliers", "customers")
+
+
+@query(f"WITH {sql.records(*LANES)} SELECT id, title, source_surface FROM r WHERE id = 'suppliers:3'")
+def broker_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return broker.search(records(spark, sf_dir, *LANES), "Supplier#000000003").select("id", "title", "source_surface")
+
+
+@query(f"WITH {sql.records('parts')} SELECT id, native_id, title, declared_code FROM r WHERE id = 'parts:7'")
+def broker_get_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return broker.hydrate(records(spark, sf_dir, "parts"), "PARTS:7").select("id", "native_id", "title", "declared_code")
+
+
+PLAN_SQL = f"""WITH {sql.records(*LANES)}, p AS (SELECT *, CASE CAST(native_id AS BIGINT) % 3 WHEN 0 THEN 'wrong' ELSE native_id END AS a FROM r),
+s AS (SELECT id, a, CASE WHEN a <> native_id THEN 'invalid-identity' WHEN source_surface <> 'parts' THEN 'binding-planned' ELSE 'requires-live-inspection' END AS plan_status, CASE WHEN a <> native_id THEN 'native_id' ELSE '' END AS conflicts FROM p)
+SELECT id, plan_status, conflicts, sha256(id || '|' || plan_status || '|native_id=' || a || ',year=2024') AS plan_id FROM s"""
+
+
+@query(PLAN_SQL)
+def selection_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plan for every record, of which each third proposes an id that isn't the record's."""
+    own = records(spark, sf_dir, *LANES)
+    proposed = F.when(F.col("native_id").cast("long") % 3 == 0, "wrong").otherwise(F.col("native_id"))
+    wanted = own.select("id", F.create_map(F.lit("native_id"), proposed, F.lit("year"), F.lit("2024")).alias("arguments"))
+    return broker.plan(own, wanted, F.col("source_surface") == "parts")
+
+
+@query(
+    PAIRS_SQL + ", " + browser_sql().split("s AS (", 1)[1].join(["b AS (", ""])
+    + """, top AS (SELECT id, row_number() OVER (ORDER BY score DESC, title, id) AS place FROM b WHERE score > 0 QUALIFY place <= 30),
+    n AS (SELECT other, min((place, rank, q.id)) AS k FROM q JOIN top ON top.id = q.id WHERE place <= 8 AND rank <= 4 AND other NOT IN (SELECT id FROM top) GROUP BY other)
+    SELECT other AS id, k[3] AS kept_for FROM n ORDER BY k, other LIMIT 8"""
+)
+def browser_rank_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = records(spark, sf_dir, "documents")
+    order = [F.desc("score"), F.col("title"), F.col("id")]
+    top = index.browser_scored(own, BROWSER).where("score > 0").orderBy(*order).limit(30).select("id", "title", "score")
+    ranked = with_ordinal(top, *order, name="place").select("id", (F.col("place") + 1).alias("place"))
+    return broker.retained(ranked, alternatives(own))
