@@ -138,7 +138,7 @@ EDGES = [(a, b) for a, needs in PLANES.items() for b in needs]
 @query("WITH RECURSIVE e(node, needs) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in EDGES) + "), r(node, needs) AS (SELECT node, needs FROM e UNION SELECT r.node, e.needs FROM r JOIN e ON e.node = r.needs) SELECT node, needs, node = needs AS cyclic FROM r")
 def dag_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = spark.createDataFrame(EDGES, "node string, needs string")
-    return validate.reachable(spark, edges).withColumn("cyclic", F.col("node") == F.col("needs"))
+    return validate.reachable(edges).withColumn("cyclic", F.col("node") == F.col("needs"))
 
 
 @query("WITH p AS (SELECT label, CAST(embedding[1] AS DOUBLE) * 500 AS x, CAST(embedding[2] AS DOUBLE) * 250 AS y FROM embeddings) SELECT label, count(*) AS n, min(x) AS west, min(y) AS south, max(x) AS east, max(y) AS north FROM p WHERE abs(x) <= 180 AND abs(y) <= 90 GROUP BY label")

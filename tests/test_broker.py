@@ -30,7 +30,7 @@ def test_identities(spark):
 
 def test_cycles_orphans_and_secrets(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a")], "node string, needs string")
-    assert {r.node for r in reachable(spark, edges).where("node = needs").collect()} == {"a", "b", "c"}
+    assert {r.node for r in reachable(edges).where("node = needs").collect()} == {"a", "b", "c"}
     child, parent = spark.createDataFrame([(1, 2), (3, None), (4, 9)], "k int, p int"), spark.createDataFrame([(2,)], "id int")
     assert [r.k for r in orphans(child, parent, "p", "id").collect()] == [4]
     rows = spark.createDataFrame([("api_key: abcdefghijklmnop",), ("/tmp/x",), ("fine",)], "t string")
