@@ -73,7 +73,7 @@ NEW_LOWER = {
 class Bpe:
     """Encoder and decoder for a vocabulary file with word ends, lower case and byte-level words."""
 
-    CACHED = 200_000
+    CACHED = 120_000
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:

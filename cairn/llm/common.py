@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import numpy as np
@@ -12,6 +10,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.scratch import materialize, scratch_dir, scratch_path
+
+__all__ = ["WordHash", "column", "held_out", "lowered", "materialize", "mix", "rows_of", "scratch_dir", "scratch_path", "shingles", "table", "text_key", "words"]
+
 #: Bytes outside [0-9a-z] and below 0x80 part words; A-Z become a-z. A UTF-8 byte of 0x80 or more always belongs to a word.
 WORD_BYTES = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
@@ -21,26 +23,6 @@ WORD_REGEX = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="cairn-checkpoints-")
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there, and a lost executor costs one reread."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def words(text: str) -> list[bytes]:
     """Lower-cased words of a text, as UTF-8."""
     return text.encode("utf-8", "replace").translate(WORD_BYTES).split()
@@ -54,7 +36,7 @@ def lowered(text: Column) -> Column:
 class WordHash(dict):
     """Word to 64-bit hash, each word hashed once; emptied when it holds too many words."""
 
-    LIMIT = 400_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -81,10 +63,10 @@ def shingles(hashes: np.ndarray, width: int = 5) -> np.ndarray:
     if n == 0:
         return hashes
     w = min(width, n)
-    out = np.zeros(n - w + 1, np.uint64)
+    mixed, out = mix(hashes, 0), np.zeros(n - w + 1, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(w):
-            out = out * np.uint64(0x100000001B3) + mix(hashes[i : n - w + 1 + i], i)
+            out = out * np.uint64(0x9E3779B97F4A7C15) + mixed[i : n - w + 1 + i]
         return mix(out, w)
 
 
