@@ -1,6 +1,6 @@
 """Format-preserving pseudonyms for personal data, as DataFrame expressions.
 
-Candidates are found by one pattern and validated by kind: payment cards by their Luhn sum, dates by the calendar,
+Candidates are found by one pattern and validated by kind: payment cards by their Luhn sum (that of a usual grouping within, if the whole run of digits fails), dates by the calendar,
 social security numbers and addresses by their ranges, phone numbers by their count of digits. A valid value is put
 through a keyed Feistel network over its own positions: half of the positions are shifted, each modulo the number of
 symbols that may stand there, by a keyed hash of the other half, and then the halves change places. The result has
@@ -33,6 +33,8 @@ PATTERNS = {
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[.-]\d{4}(?!\d|-\d)",
     "card": r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\d|-\d)",
 }
+#: Usual groupings of a card's digits, tried within a longer run of digits whose Luhn sum fails. Fixed values.
+GROUPINGS = (r"\d{4}([ -])\d{4}\2\d{4}\2\d{4}\2\d{1,3}", r"\d{4}([ -])\d{4}\2\d{4}\2\d{4}", r"\d{4}([ -])\d{6}\2\d{4,5}", r"\d{13,19}")
 ANY = "|".join(PATTERNS.values())
 MONTHS_30 = (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)
 MONTHS_31 = (1, 3, 5, 7, 8, 10, 12)
@@ -91,10 +93,25 @@ def luhn_sum(ds: Column, doubled_from: int) -> Column:
     return F.aggregate(twice, F.lit(0).cast("long"), lambda a, d: a + d)
 
 
+def card_within(text: Column) -> Column:
+    """The candidate if its Luhn sum holds, or else the first usual grouping in it whose sum holds, as where a code or an expiry date stands beside a card."""
+    holds = lambda c: F.pmod(luhn_sum(digits(c), 1), F.lit(10)) == 0
+    parts = F.concat(*(F.regexp_extract_all(text, F.lit(rf"(?<!\d)(?=({g})(?!\d))"), F.lit(1)) for g in GROUPINGS))
+    return F.get(F.filter(F.concat(F.array(text), parts), holds), 0)
+
+
 def card(text: Column, key: str) -> Column:
+    def shown(number: Column) -> Column:
+        at = F.instr(text, number)
+        return F.concat(F.substr(text, F.lit(1), at - 1), card_number(number, key), F.substr(text, at + F.length(number)))
+
+    return F.get(F.transform(F.array(card_within(text)), shown), 0)
+
+
+def card_number(text: Column, key: str) -> Column:
     head = characters(F.left(text, F.length(text) - 1), "card", key, fixed=F.lit(1))
     check = F.transform(F.array(head), lambda h: F.concat(h, F.pmod(10 - F.pmod(luhn_sum(digits(h), 0), F.lit(10)), F.lit(10)).cast("string")))
-    return F.when(F.pmod(luhn_sum(digits(text), 1), F.lit(10)) == 0, F.get(check, 0))
+    return F.get(check, 0)
 
 
 def ipv4(text: Column, key: str) -> Column:

@@ -54,3 +54,22 @@ def test_clashing_column_and_empty_table(documents):
     docs = documents(["x 10.0.0.1"]).withColumnRenamed("source", "private")
     assert pii.pseudonymise(docs).columns == ["doc_id", "text", "lang", "n_chars", "private"]
     assert pii.pseudonymise(docs.limit(0)).count() == 0
+
+
+def test_cards_with_digits_beside_them(documents):
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "3782 822463 10005", "4111111111111111"]
+    texts = [f"pay {c}{behind}" for c in cards for behind in ("", " 123", " 12/27", " 999")] + [f"{before} {c}" for c in cards for before in ("12", "987")]
+    texts += ["two 4111 1111 1111 1111 5500 0000 0000 0004", "not 4111 1111 1111 1112 123", "numbers 12 34 56 78 90 12 34"]
+    got = changed(documents, texts)
+    alone = {c: got[4 * n].text[4:] for n, c in enumerate(cards)}
+    clear = [k for k, t in enumerate(texts[:24]) if any(c in got[k].text for c in cards)]
+    print(f"cards with digits beside them: {24 - len(clear)} of 24 hidden")
+    assert not clear
+    for k, t in enumerate(texts[:24]):
+        c = next(c for c in cards if c in t)
+        assert got[k].private == {"card": 1}
+        whole = re.sub(r"\D", "", t)  # a whole run may hold a sum of its own
+        if not (len(whole) <= 19 and luhn(whole)) or whole == re.sub(r"\D", "", c):
+            assert got[k].text == t.replace(c, alone[c])
+    assert got[24].private == {"card": 2}
+    assert got[25].text == texts[25] and got[26].text == texts[26]
