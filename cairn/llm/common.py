@@ -12,15 +12,14 @@ from pyspark.sql import functions as F
 
 from cairn.scratch import materialize, scratch_dir, scratch_path
 
-__all__ = ["WordHash", "column", "held_out", "lowered", "materialize", "mix", "rows_of", "scratch_dir", "scratch_path", "shingles", "table", "text_key", "words"]
+__all__ = ["WORD_REGEX", "WordHash", "column", "free_name", "held_out", "materialize", "mix", "rows_of", "scratch_dir", "scratch_path", "shingles", "table", "text_key", "words"]
 
 #: Bytes outside [0-9a-z] and below 0x80 part words; A-Z become a-z. A UTF-8 byte of 0x80 or more always belongs to a word.
 WORD_BYTES = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
-#: The same words as a Java regular expression, for text whose A-Z were lower-cased.
-WORD_REGEX = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The same words as a Java regular expression, whatever their case.
+WORD_REGEX = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: str) -> list[bytes]:
@@ -28,11 +27,6 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(WORD_BYTES).split()
 
 
-def lowered(text: Column) -> Column:
-    """A-Z to a-z only, as ``words`` does."""
-    return F.translate(text, UPPER, LOWER)
-
-
 class WordHash(dict):
     """Word to 64-bit hash, each word hashed once; emptied when it holds too many words."""
 
@@ -70,6 +64,14 @@ def shingles(hashes: np.ndarray, width: int = 5) -> np.ndarray:
         return mix(out, w)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """The name, with underscores put before it until no column is called that, whatever its case."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; null stays null."""
     return F.when(text.isNotNull(), F.unhex(F.substring(F.sha2(text, 256), 1, 32)))
