@@ -6,7 +6,9 @@ the language of the centroid with the largest cosine. Texts further from their c
 texts are (``rejected``) belong to none of the learned languages well.
 
 Null texts and texts without a letter get ``und`` and score 0. Rows with a null language aren't learnt from.
-Ties go to the language first in order. Without any labelled row all predictions are ``und``.
+Ties go to the language first in order. Without any labelled row all predictions are ``und``. Repeated rows get equal
+results, and a text that many rows share is learnt from once. Very long texts are counted whole, piece by piece. An empty table gives an
+empty result. Only the columns named as parameters are read, so further ones may have any name.
 """
 
 from __future__ import annotations
@@ -39,6 +41,15 @@ def counts(text: str) -> np.ndarray:
     return out
 
 
+def packed(n: np.ndarray) -> bytes:
+    """Counts in two bytes each if the largest fits, else in eight."""
+    return n.astype(np.uint16 if n.max() < 2**16 else np.int64).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if len(data) == 2 * DIMENSIONS else np.int64)
+
+
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
@@ -89,7 +100,10 @@ def train(tf: np.ndarray, langs: list[str], per_language: int = 4, slack: float
 
 
 def fit(docs: DataFrame, max_rows: int = 2_000, where: Column | None = None, text_col: str = "text", lang_col: str = "lang") -> Centroids:
-    """Learn from about ``max_rows`` labelled texts, as many of each language; only their n-gram counts reach the driver."""
+    """Learn from about ``max_rows`` labelled texts, as many of each language; only their n-gram counts reach the driver.
+
+    A text is drawn by its hash, with a chance that follows from the rows of its language; drawn more than once it counts once.
+    """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if where is not None:
         known = known.where(where)
@@ -99,17 +113,15 @@ def fit(docs: DataFrame, max_rows: int = 2_000, where: Column | None = None, tex
     each = max(1, max_rows // len(sizes))
     chance = F.create_map(*(F.lit(v) for name, n in sizes.items() for v in (name, min(1.0, each / n))))
     draw = F.pmod(F.xxhash64(F.lit("sample"), text_col), F.lit(1_000_000)) / 1_000_000.0
-    sample = known.where(draw < F.try_element_at(chance, F.col(lang_col))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).limit(2 * max_rows)
+    sample = known.where(draw < F.try_element_at(chance, F.col(lang_col))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).distinct()
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in rows_of(batches, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column(part, "lang"), pa.string()), pa.array([counts(t).astype(np.uint16 if len(t) < 60_000 else np.int64).tobytes() for t in texts], pa.binary())], ["lang", "tf"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(column(part, "lang"), pa.string()), pa.array([packed(counts(t)) for t in texts], pa.binary())], ["lang", "tf"])
 
     got = sample.mapInArrow(vectors, "lang string, tf binary").toArrow()
     rows = sorted(zip(got["lang"].to_pylist(), got["tf"].to_pylist(), strict=True))
-    tf = np.array([np.frombuffer(v, np.uint16 if len(v) == 2 * DIMENSIONS else np.int64) for _, v in rows], np.float32).reshape(-1, DIMENSIONS)
+    tf = np.array([unpacked(v) for _, v in rows], np.float32).reshape(-1, DIMENSIONS)
     return train(tf, [name for name, _ in rows])
 
 
