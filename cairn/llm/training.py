@@ -18,7 +18,8 @@ def labelled_sample(
 ) -> DataFrame:
     """(doc_id, text, label) of at most ``max_rows`` labelled ids, chosen by a hash of the id; the sample alone is broadcast.
 
-    Rows without id or label don't count; of several labels of one id the smallest holds.
+    Rows without id or label don't count; of several labels of one id the smallest holds, and of several texts the first in order
+    that isn't null (one of its rows without a text, if none has one).
     """
     chosen = labels.select(F.col(id_col).alias("doc_id"), F.col(label).alias("label")).dropna()
     if where is not None:
@@ -26,7 +27,7 @@ def labelled_sample(
     chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = chosen.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(max_rows)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return own.join(F.broadcast(chosen), "doc_id").limit(2 * max_rows)
+    return own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
 
 
 def repeated_word_count(tokens: list[bytes]) -> int:
