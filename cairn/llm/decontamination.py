@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.llm.common import materialize, rows_of, table, text_key, words
+from cairn.llm.common import free_name, materialize, rows_of, table, text_key, words
 
 SEGMENT_WORDS = 1_000_000
 WINDOW = 10
@@ -298,10 +298,11 @@ def indexed(docs: DataFrame, **columns: str) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, that hold no window of any item. Equal texts share their lot; rows without a text stay."""
-    keyed = docs.withColumn("_text_key", text_key(docs[text_col]))
-    hit = phrase_matches(indexed(keyed, id_col="_text_key", text_col=text_col), items).where(F.size("spans") > 0)
-    hit = materialize(hit.select(F.col("doc_id").alias("_text_key")).distinct(), "leaked")
-    return keyed.join(hit, "_text_key", "left_anti").select(docs.columns)
+    key = free_name(docs.columns, "text_key")
+    keyed = docs.withColumn(key, text_key(docs[text_col]))
+    hit = phrase_matches(indexed(keyed, id_col=key, text_col=text_col), items).where(F.size("spans") > 0)
+    hit = materialize(hit.select(F.col("doc_id").alias(key)).distinct(), "leaked")
+    return keyed.join(hit, key, "left_anti").select(docs.columns)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,10 +3,13 @@
 Each run of three consecutive lines is hashed to 128 bits. Of equal windows, the one first in the order of
 (doc_id with nulls last, text key, line) stays; the positions that the others cover are merged, and their lines go.
 Lines are compared as they stand. Texts of fewer than three lines have no window and stay as they are, as do
-null and empty ones. Rows with equal id and text are one document here and get equal results.
+null and empty ones. Rows with equal id and text are one document here and get equal results, also where the id is null.
+A very long text is one row of lines, and one row of hashes for each of its windows. An empty table gives an empty result.
+Further columns may have any name: those made on the way take names that the input leaves free.
 
 Finding a window's first occurrence is a grouped minimum with partial aggregation, so a window that a third of
-all documents hold costs one row per task; the later occurrences come from an equi-join that Spark may split.
+all documents hold costs one row per task. The later occurrences come from an equi-join of two shuffled tables, with
+nothing between, of which Spark splits a partition that one window makes large.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import table, text_key
+from cairn.llm.common import free_name, materialize, table, text_key
 
 LINES = 3
 
@@ -42,6 +45,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(id, key, starts): sorted first lines of the windows that repeat an earlier one."""
     each = windows(docs, id_col, text_col)
     first = each.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last")).where(F.col("first") < F.col("last"))
+    first = materialize(first.select("h1", "h2", "first"), "first-windows")
     later = each.join(first, ["h1", "h2"]).where(F.col("at") > F.col("first"))
     return later.groupBy("at.id", "at.key").agg(F.array_sort(F.collect_set("at.line")).alias("starts"))
 
@@ -55,21 +59,22 @@ def kept_lines(lines: Column, starts: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dropped: str = "n_removed_lines") -> DataFrame:
     """The documents with repeated lines taken out of the text, and how many went. A column of that name in the input gives way."""
-    found = repeated(docs, id_col, text_col).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("starts").alias("_starts"))
-    own = docs.select(*(docs[c] for c in docs.columns if c != dropped))
-    both = own.join(found, own[id_col].eqNullSafe(F.col("_id")) & (text_key(own[text_col]) == F.col("_key")), "left")
-    kept = F.when(F.col("_starts").isNotNull(), kept_lines(lines_of(own[text_col]), F.col("_starts")))
-    both = both.withColumn("_kept", kept)
-    text = F.when(F.col("_kept").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
-    gone = F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(F.size(lines_of(F.col(text_col))) - F.size("_kept"))
+    own = docs.select(*(docs[c] for c in docs.columns if c.lower() != dropped.lower()))
+    id_, key, starts, kept = (free_name([*own.columns, dropped], c) for c in ("id", "key", "starts", "kept"))
+    found = repeated(docs, id_col, text_col).select(F.col("id").alias(id_), F.col("key").alias(key), F.col("starts").alias(starts))
+    both = own.join(found, own[id_col].eqNullSafe(F.col(id_)) & (text_key(own[text_col]) == F.col(key)), "left")
+    both = both.withColumn(kept, F.when(F.col(starts).isNotNull(), kept_lines(lines_of(own[text_col]), F.col(starts))))
+    text = F.when(F.col(kept).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    gone = F.when(F.col(kept).isNull(), F.lit(0)).otherwise(F.size(lines_of(F.col(text_col))) - F.size(kept))
     return both.select(*(text.alias(c) if c == text_col else F.col(c) for c in own.columns), gone.cast("long").alias(dropped))
 
 
 def drop_repeated_lines(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The documents without repeated lines, with a count of characters brought up to date; those that lost all their lines are left out."""
-    kept = dedup_lines(docs, text_col=text_col, dropped="_removed").where((F.col("_removed") == 0) | (F.trim(text_col) != "") | F.col(text_col).isNull())
+    removed = free_name(docs.columns, "removed")
+    kept = dedup_lines(docs, text_col=text_col, dropped=removed).where((F.col(removed) == 0) | (F.trim(text_col) != "") | F.col(text_col).isNull())
     if chars_col in docs.columns:
-        size = F.when(F.col("_removed") > 0, F.length(text_col)).otherwise(F.col(chars_col))
+        size = F.when(F.col(removed) > 0, F.length(text_col)).otherwise(F.col(chars_col))
         kept = kept.withColumn(chars_col, size.cast(docs.schema[chars_col].dataType))
     return kept.select(docs.columns)
 
