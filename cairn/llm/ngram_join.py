@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import WordHash, column, materialize, mix, rows_of, shingles, table, text_key, words
+from cairn.llm.common import WordHash, column, free_name, materialize, mix, rows_of, shingles, table, text_key, words
 from cairn.llm.components import components
 
 LEVELS = 3
@@ -101,12 +101,12 @@ def leaves(sketch: DataFrame) -> DataFrame:
     first = F.filter("chosen", lambda c: level(c) == 0)
     rows = sketch.where("n > 0").select("key", F.explode(first).alias("c")).select("key", F.floor(code_of(F.col("c")) / LEVELS).alias("run"), F.xxhash64("c").alias("bucket"))
     done = None
-    parent = F.lit(0)
+    parent = F.lit(None).cast("long")
     for depth in range(LEVELS):
         size = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         rows = rows.join(size, "bucket")
         last = depth == LEVELS - 1
-        closed = F.lit(True) if last else (F.col("size") <= SMALL_BUCKET) | (F.col("size") >= 0.8 * parent)
+        closed = F.lit(True) if last else (F.col("size") <= SMALL_BUCKET) | F.coalesce(F.col("size") >= 0.8 * parent, F.lit(False))
         rows = materialize(rows.withColumn("closed", closed), "buckets")
         own = rows.where("closed").select("bucket", "key", "size")
         done = own if done is None else done.unionAll(own)
@@ -291,10 +291,11 @@ def jaccard_join(docs: DataFrame, similarity: float = 0.8, recall: float = 0.995
 def one_of_each(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, but one only of each class: that with the least id. Rows without a text all stay."""
     found = jaccard_join(docs, similarity, id_col=id_col, text_col=text_col)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("key").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_own", text_key(docs[text_col]))
-    with_text = keyed.join(stay, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi").dropDuplicates([id_col, "_own"])
-    return with_text.unionByName(keyed.where(F.col("_own").isNull())).select(docs.columns)
+    id_, key, own = (free_name(docs.columns, c) for c in ("id", "key", "own"))
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("key").isNotNull()).select(F.col("doc_id").alias(id_), F.col("key").alias(key)).distinct()
+    keyed = docs.withColumn(own, text_key(docs[text_col]))
+    with_text = keyed.join(stay, keyed[id_col].eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key)), "left_semi").dropDuplicates([id_col, own])
+    return with_text.unionByName(keyed.where(F.col(own).isNull())).select(docs.columns)
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
