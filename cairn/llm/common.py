@@ -12,14 +12,12 @@ from pyspark.sql import functions as F
 
 from cairn.scratch import materialize, scratch_dir, scratch_path
 
-__all__ = ["WORD_REGEX", "WordHash", "column", "free_name", "held_out", "materialize", "mix", "rows_of", "scratch_dir", "scratch_path", "shingles", "table", "text_key", "words"]
+__all__ = ["WordHash", "column", "free_name", "held_out", "materialize", "mix", "rows_of", "scratch_dir", "scratch_path", "shingles", "table", "text_key", "words"]
 
 #: Bytes outside [0-9a-z] and below 0x80 part words; A-Z become a-z. A UTF-8 byte of 0x80 or more always belongs to a word.
 WORD_BYTES = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
-#: The same words as a Java regular expression, whatever their case.
-WORD_REGEX = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: str) -> list[bytes]:
