@@ -4,13 +4,16 @@ Candidates are found by one pattern and validated by kind: payment cards by thei
 social security numbers and addresses by their ranges, phone numbers by their count of digits. A valid value is put
 through a keyed Feistel network over its own positions: half of the positions are shifted, each modulo the number of
 symbols that may stand there, by a keyed hash of the other half, and then the halves change places. The result has
-the same format, equal values get equal pseudonyms in every document, and no two values share one.
+the same format, equal values get equal pseudonyms in every document, and no two values share one. Numbers are equal if
+their digits are, whatever stands between these, dates if they are the same day, names of mailboxes if they differ in case alone.
 
 Kinds: email (letters and digits of the local part), ipv4 (octets), card (all but the first digit; the check digit
-is computed anew), phone (all but a country code), ssn, date (ISO, or two fields and a four-digit year, 1900 to 2099;
+is computed anew), phone (all but the first digit after a plus sign), ssn, date (ISO, or two fields and a four-digit year, 1900 to 2099;
 day first where both readings are possible), credential (hex after password or token, and access keys).
 
-Null texts stay null and empty ones empty. Values that fail validation stay. Repeated rows get equal results.
+Null texts stay null and empty ones empty. Values that fail validation stay. Repeated rows get equal results, an empty table an empty one.
+Very long texts are treated whole. Where candidates overlap, the one that begins first counts, and of these the kind named
+first in ``PATTERNS``. Further columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import table
+from cairn.llm.common import free_name, table
 
 ROUNDS = 10
 #: Patterns of candidates by kind, in order of precedence. Fixed values.
@@ -44,43 +47,63 @@ def longs(*values: int | Column) -> Column:
     return F.array(*(F.lit(v).cast("long") if isinstance(v, int) else v.cast("long") for v in values))
 
 
+#: Hexadecimal digits of a hash that make one shift, and how many shifts one hash gives.
+SHIFT_DIGITS, SHIFTS = 12, 10
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def permute(values: Column, radices: Column, kind: str, key: str) -> Column:
-    """A keyed permutation of vectors whose i-th entry is below ``radices[i]``."""
+    """A keyed permutation of vectors whose i-th entry is below ``radices[i]``: in each round one half is shifted by a hash of the other."""
     half = F.floor(F.size(values) / 2)
+    blocks = F.sequence(F.lit(0), F.floor(F.size(values) / SHIFTS).cast("int"))
 
-    def shift(v: Column, r: Column, i: Column) -> Column:
+    def hashed(v: Column, r: Column) -> Column:
         low = F.pmod(r, F.lit(2)) == 0
         other = F.array_join(F.filter(v, lambda _, j: (j < half) != low).cast("array<string>"), ",")
-        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), i.cast("string"), other), 256)
-        return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
+        stem = F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), other)
+        return let(stem, lambda s: F.array_join(F.transform(blocks, lambda b: F.substring(F.sha2(F.concat_ws("|", s, b.cast("string")), 512), 1, SHIFT_DIGITS * SHIFTS)), ""))
 
     def step(v: Column, r: Column) -> Column:
         low = F.pmod(r, F.lit(2)) == 0
-        return F.transform(v, lambda x, i: F.when((i < half) == low, F.pmod(x + shift(v, r, i), F.get(radices, i))).otherwise(x))
+
+        def shifted(digest: Column) -> Column:
+            by = lambda i: F.conv(F.substr(digest, (i * SHIFT_DIGITS + 1).cast("int"), F.lit(SHIFT_DIGITS)), 16, 10).cast("long")
+            return F.transform(v, lambda x, i: F.when((i < half) == low, F.pmod(x + by(i), F.get(radices, i))).otherwise(x))
+
+        return let(hashed(v, r), shifted)
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), values, step)
 
 
-def characters(text: Column, kind: str, key: str, fixed: Column | None = None, alphabet: str | None = None) -> Column:
-    """Digits, small and capital letters permuted at their places; other characters, and the first ``fixed`` ones, stay."""
-    chars = F.split(text, "")
-    if alphabet:
-        table_ = F.lit(alphabet)
-        values = F.transform(chars, lambda c: (F.instr(table_, c) - 1).cast("long"))
-        mixed = permute(values, F.transform(chars, lambda _: F.lit(len(alphabet)).cast("long")), kind, key)
-        return F.array_join(F.transform(mixed, lambda v: F.substring(table_, v.cast("int") + 1, F.lit(1))), "")
+def alike(text: Column, kind: str, key: str, alphabet: str) -> Column:
+    """A text over one alphabet, permuted."""
+    values = F.transform(F.split(text, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("long"))
+    mixed = permute(values, F.transform(values, lambda _: F.lit(len(alphabet)).cast("long")), kind, key)
+    return F.array_join(F.transform(mixed, lambda v: F.substring(F.lit(alphabet), v.cast("int") + 1, F.lit(1))), "")
+
 
-    def base(c: Column, i: Column) -> Column:
-        code = F.ascii(c)
-        free = F.lit(True) if fixed is None else i >= fixed
-        return F.when(free & c.rlike("^[0-9]$"), 48).when(free & c.rlike("^[a-z]$"), 97).when(free & c.rlike("^[A-Z]$"), 65).otherwise(code).cast("long")
+def characters(text: Column, kind: str, key: str) -> Column:
+    """Digits and letters permuted at their places, small letters and capitals in one way, so that case doesn't part equal values; other characters stay."""
+    chars = F.split(F.lower(text), "")
+    base = lambda c: F.when(c.rlike("^[0-9]$"), 48).when(c.rlike("^[a-z]$"), 97).otherwise(F.ascii(c)).cast("long")
+    radix = lambda c: F.when(c.rlike("^[0-9]$"), 10).when(c.rlike("^[a-z]$"), 26).otherwise(1).cast("long")
+    mixed = permute(F.transform(chars, lambda c: F.ascii(c).cast("long") - base(c)), F.transform(chars, radix), kind, key)
+    small = F.zip_with(mixed, chars, lambda v, c: F.char(v + base(c)))
+    return F.array_join(F.zip_with(small, F.split(text, ""), lambda s, c: F.when(c.rlike("^[A-Z]$"), F.upper(s)).otherwise(s)), "")
 
-    bases = F.transform(chars, base)
-    values = F.zip_with(chars, bases, lambda c, b: F.ascii(c).cast("long") - b)
-    radices = F.zip_with(chars, F.transform(chars, base), lambda c, b: F.when((b == 48) & c.rlike("^[0-9]$") & True, 10).when(b == 97, 26).when(b == 65, 26).otherwise(1).cast("long"))
-    if fixed is not None:
-        radices = F.transform(radices, lambda n, i: F.when(i < fixed, 1).otherwise(n).cast("long"))
-    return F.array_join(F.zip_with(permute(values, radices, kind, key), bases, lambda v, b: F.char(v + b)), "")
+
+def refilled(text: Column, numbers: Column) -> Column:
+    """The text with other digits in the places of its own, so that equal numbers stay equal however they are written."""
+    place = lambda i: F.length(F.regexp_replace(F.substring(text, 1, i + 1), "[^0-9]", "")) - 1
+    return let(numbers, lambda ds: F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("^[0-9]$"), F.get(ds, place(i)).cast("string")).otherwise(c)), ""))
+
+
+def permuted_digits(ds: Column, kind: str, key: str) -> Column:
+    return permute(ds, F.transform(ds, lambda _: F.lit(10).cast("long")), kind, key)
 
 
 def digits(text: Column) -> Column:
@@ -109,9 +132,10 @@ def card(text: Column, key: str) -> Column:
 
 
 def card_number(text: Column, key: str) -> Column:
-    head = characters(F.left(text, F.length(text) - 1), "card", key, fixed=F.lit(1))
-    check = F.transform(F.array(head), lambda h: F.concat(h, F.pmod(10 - F.pmod(luhn_sum(digits(h), 0), F.lit(10)), F.lit(10)).cast("string")))
-    return F.get(check, 0)
+    """All digits but the first are permuted, and the last is what the Luhn sum asks for."""
+    ds = digits(text)
+    head = F.concat(F.slice(ds, 1, 1), permuted_digits(F.slice(ds, F.lit(2), F.size(ds) - 2), "card", key))
+    return refilled(text, let(head, lambda h: F.concat(h, F.array(F.pmod(10 - F.pmod(luhn_sum(h, 0), F.lit(10)), F.lit(10))))))
 
 
 def ipv4(text: Column, key: str) -> Column:
@@ -130,8 +154,10 @@ def ssn(text: Column, key: str) -> Column:
 
 
 def phone(text: Column, key: str) -> Column:
-    country = F.when(text.startswith("+"), F.length(F.regexp_extract(text, r"^\+\d{1,3}(?=[ .(-])|^\+\d", 0))).otherwise(0)
-    return F.when(F.size(digits(text)).between(8, 15), characters(text, "phone", key, fixed=country))
+    """All digits are permuted but the first after a plus sign."""
+    ds, kept = digits(text), F.when(text.startswith("+"), 1).otherwise(0)
+    mixed = F.concat(F.slice(ds, F.lit(1), kept), permuted_digits(F.slice(ds, kept + 1, F.size(ds)), "phone", key))
+    return F.when(F.size(ds).between(8, 15), refilled(text, mixed))
 
 
 def date(text: Column, key: str) -> Column:
@@ -177,7 +203,7 @@ def date(text: Column, key: str) -> Column:
 
 def credential(text: Column, key: str) -> Column:
     upper = F.concat(F.left(text, F.lit(4)), characters(F.substr(text, F.lit(5)), "credential", key))
-    return F.when(text.startswith("AKIA"), upper).when(text == F.lower(text), characters(text, "credential", key, alphabet="0123456789abcdef")).otherwise(characters(text, "credential", key))
+    return F.when(text.startswith("AKIA"), upper).when(text == F.lower(text), alike(text, "credential", key, "0123456789abcdef")).otherwise(characters(text, "credential", key))
 
 
 def email(text: Column, key: str) -> Column:
@@ -199,21 +225,29 @@ def pseudonym(text: Column, key: str) -> Column:
     return F.get(F.filter(F.array(*each), lambda x: x["value"].isNotNull()), 0)
 
 
-def pseudonymise(docs: DataFrame, key: str = "corpus", text_col: str = "text", found: str = "private") -> DataFrame:
-    """The documents with pseudonyms in the text, and a map of how many values of each kind it held. A column of that name in the input gives way."""
-    own = docs.select(*(docs[c] for c in docs.columns if c != found))
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found: str = "private") -> DataFrame:
+    """The documents with pseudonyms in the text, and a map of how many values of each kind it held. A column of that name in the input gives way.
+
+    ``key`` is a secret: who knows it can undo the pseudonyms. It has no default, and belongs in the job's configuration.
+    """
+    own = docs.select(*(docs[c] for c in docs.columns if c.lower() != found.lower()))
+    at = free_name([*own.columns, found], "hits")
     text = own[text_col]
     some = text.rlike("[0-9@]") & text.rlike(ANY)
-    hits = own.withColumn("_hits", F.when(some, F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))))
+    hits = own.withColumn(at, F.when(some, F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))))
     gaps = F.split(F.col(text_col), ANY, -1)
-    new = F.concat(F.transform("_hits", lambda h: F.coalesce(h["new"]["value"], h["old"])), F.array(F.lit("")))
-    text = F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(F.array_join(F.zip_with(gaps, new, lambda a, b: F.concat(a, b)), ""))
-    kinds = F.filter(F.transform(F.coalesce("_hits", F.array().cast("array<struct<old:string,new:struct<kind:string,value:string>>>")), lambda h: h["new"]["kind"]), F.isnotnull)
+    new = F.concat(F.transform(at, lambda h: F.coalesce(h["new"]["value"], h["old"])), F.array(F.lit("")))
+    text = F.when(F.col(at).isNull(), F.col(text_col)).otherwise(F.array_join(F.zip_with(gaps, new, lambda a, b: F.concat(a, b)), ""))
+    kinds = F.filter(F.transform(F.coalesce(at, F.array().cast("array<struct<old:string,new:struct<kind:string,value:string>>>")), lambda h: h["new"]["kind"]), F.isnotnull)
     counted = F.map_from_entries(F.transform(F.array_sort(F.array_distinct(kinds)), lambda k: F.struct(k, F.size(F.filter(kinds, lambda x: x == k)).cast("long"))))
     return hits.select(*(text.alias(c) if c == text_col else F.col(c) for c in own.columns), counted.alias(found))
 
 
+#: The query's key, which is public and protects nothing: it stands in for a secret of the job's configuration.
+TEST_KEY = "key of the test query"
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n = F.aggregate(F.map_values("private"), F.lit(0).cast("long"), lambda a, x: a + x)
-    return pseudonymise(docs).select("doc_id", "text", n.alias("n_private"), F.to_json("private").alias("kinds"))
+    return pseudonymise(docs, TEST_KEY).select("doc_id", "text", n.alias("n_private"), F.to_json("private").alias("kinds"))
