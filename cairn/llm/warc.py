@@ -5,11 +5,14 @@ fail the pushed predicates, or the wanted columns leave out the payload, the res
 Compressed archives hold one gzip member a record, whose ``sl`` extra field gives its compressed length, so that a
 reader can step over it; members without that field are read through.
 
-Writing: one file or more for each task, first under a temporary name; commit moves them in place.
+Writing: one file or more for each task, first in a temporary folder of the job's own; commit moves them in place and, if
+the archive is to be overwritten, only then deletes what was there.
 
 Columns: ``record_type, record_id, target_uri, refers_to, payload_digest, payload_length, payload, headers``.
 ``payload_length`` and ``payload_digest`` describe the full payload, also in a revisit record, which has none of its own.
-Nulls: a null payload is written as an empty one, other null columns as missing headers, which read back as null.
+Nulls: a null payload is written as an empty one, other null columns as missing headers, which read back as null. Empty
+tables make an archive without files, which reads as no rows. A payload of any length is written and read whole. Repeated rows make a record
+each. Columns of the input that the format doesn't name are left out.
 """
 
 from __future__ import annotations
@@ -22,14 +25,14 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, WriterCommitMessage,
 )
 
-from cairn.llm.common import scratch_path, table
+from cairn.llm.common import materialize, scratch_path, table
 
 SCHEMA = (
     "record_type string, record_id string, target_uri string, refers_to string, payload_digest string, payload_length bigint, "
@@ -250,11 +253,10 @@ class Written(WriterCommitMessage):
 
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, path: str, overwrite: bool, compress: bool, file_bytes: int) -> None:
-        self.path, self.compress, self.file_bytes = path, compress, file_bytes
+        self.path, self.overwrite, self.compress, self.file_bytes = path, overwrite, compress, file_bytes
+        self.own = f"_temporary-{uuid.uuid4().hex}"
         fs, root = filesystem(path)
-        if overwrite and fs.get_file_info(root).type != pafs.FileType.NotFound:
-            fs.delete_dir_contents(root)
-        fs.create_dir(f"{root}/_temporary", recursive=True)
+        fs.create_dir(f"{root}/{self.own}", recursive=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = filesystem(self.path)
@@ -269,7 +271,7 @@ class WarcWriter(DataSourceArrowWriter):
                         if out:
                             out.close()
                         names.append(f"part-{uuid.uuid4().hex}.warc{'.gz' * self.compress}")
-                        out, size = fs.open_output_stream(f"{root}/_temporary/{names[-1]}", compression=None), 0
+                        out, size = fs.open_output_stream(f"{root}/{self.own}/{names[-1]}", compression=None), 0
                     bracketed = {c: row[c] and f"<{row[c]}>" for c in ("record_id", "refers_to")}
                     data = render(
                         row["record_type"] or "response", bracketed["record_id"] or f"<urn:uuid:{uuid.uuid4()}>", row["payload"] or b"", target_uri=row["target_uri"], refers_to=bracketed["refers_to"],
@@ -285,14 +287,17 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, root = filesystem(self.path)
+        before = [i for i in fs.get_file_info(pafs.FileSelector(root)) if not i.base_name.startswith("_temporary-")] if self.overwrite else []
         for m in messages:
             for name in m.names if m else ():
-                fs.move(f"{root}/_temporary/{name}", f"{root}/{name}")
-        fs.delete_dir(f"{root}/_temporary")
+                fs.move(f"{root}/{self.own}/{name}", f"{root}/{name}")
+        for i in before:
+            fs.delete_dir(i.path) if i.type == pafs.FileType.Directory else fs.delete_file(i.path)
+        fs.delete_dir(f"{root}/{self.own}")
 
     def abort(self, messages: list[Written | None]) -> None:
         fs, root = filesystem(self.path)
-        fs.delete_dir(f"{root}/_temporary")
+        fs.delete_dir(f"{root}/{self.own}")
 
 
 class WarcDataSource(DataSource):
@@ -330,21 +335,37 @@ def write_warc(rows: DataFrame, path: str, compress: bool = True) -> None:
     rows.write.format("warc").option("compress", str(compress).lower()).mode("append").save(path)
 
 
+PAGE = "urn:x-page:"
+NO_PAGE = "urn:x-no-page:"
+
+
+def page_urn(page_id: Column) -> Column:
+    """The id of a page's record; any text comes back from it, and a null too (``page_of``)."""
+    return F.coalesce(F.concat(F.lit(PAGE), F.url_encode(page_id.cast("string"))), F.lit(NO_PAGE))
+
+
+def page_of(urn: Column) -> Column:
+    return F.when(urn.startswith(PAGE), F.url_decode(F.substr(urn, F.lit(len(PAGE) + 1))))
+
+
 def with_revisits(pages: DataFrame, least_bytes: int = 100, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """WARC rows of pages: of equal payloads of ``least_bytes`` or more, that with the smallest id is the response, the others revisit it.
 
-    Rows that share the smallest id are all responses; where no row of a group has an id, so are all of them.
+    Rows that share the smallest id are all responses; where no row of a group has an id, so are all of them. Short pages, which
+    equal many, are dealt by their own row, and a payload that many pages share meets its one row of ``first`` in parts.
     """
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("target_uri"), payload.alias("payload"), F.sha2(payload, 256).alias("payload_digest"))
     long = own.where(F.octet_length("payload") >= least_bytes)
-    first = long.groupBy("payload_digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col("first").isNotNull()).drop("n")
-    both = own.join(first, "payload_digest", "left")
+    first = long.groupBy("payload_digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col("first").isNotNull())
+    first = materialize(first.select(F.col("payload_digest").alias("met_by"), "first"), "first-pages")
+    alone = F.concat(F.lit("-"), F.xxhash64("id", "target_uri").cast("string"))
+    own = own.withColumn("met_by", F.when(F.octet_length("payload") >= least_bytes, F.col("payload_digest")).otherwise(alone))
+    both = own.join(first, "met_by", "left")
     again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    urn = lambda c: F.concat(F.lit("urn:x-page:"), F.coalesce(c.cast("string"), F.lit("")))
     return both.select(
-        F.when(again, "revisit").otherwise("response").alias("record_type"), urn(F.col("id")).alias("record_id"), "target_uri",
-        F.when(again, urn(F.col("first"))).alias("refers_to"), "payload_digest", "payload",
+        F.when(again, "revisit").otherwise("response").alias("record_type"), page_urn(F.col("id")).alias("record_id"), "target_uri",
+        F.when(again, page_urn(F.col("first"))).alias("refers_to"), "payload_digest", "payload",
     )
 
 
@@ -352,11 +373,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     path = scratch_path(spark, "warc")
     write_warc(with_revisits(pages), path)
-    own = lambda c: F.try_element_at(F.split(c, ":"), F.lit(3)).try_cast(pages.schema["page_id"].dataType)
+    own = lambda c: page_of(F.col(c)).cast(pages.schema["page_id"].dataType)
     digest = F.when(F.col("payload").isNotNull(), F.sha2("payload", 256)).otherwise(F.col("payload_digest"))
     length = F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_length"))
     got = read_warc(spark, path, ["record_type", "record_id", "refers_to", "payload_digest", "payload_length", "payload"])
-    return got.select(own(F.col("record_id")).alias("page_id"), length.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", own(F.col("refers_to")).alias("refers_to"))
+    return got.select(own("record_id").alias("page_id"), length.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", own("refers_to").alias("refers_to"))
 
 
 OP9_SQL = """

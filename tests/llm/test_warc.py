@@ -23,7 +23,7 @@ def test_round_trip(spark, tmp_path, compress):
     got = sorted((r.record_id, r.record_type, r.refers_to or "", r.payload, r.payload_length) for r in warc.read_warc(spark, path).collect())
     want = sorted((r.record_id, r.record_type, r.refers_to or "", None if r.record_type == "revisit" else bytes(r.payload), len(r.payload)) for r in rows.collect())
     assert got == want
-    assert sorted(x[0] for x in got if x[1] == "revisit") == ["urn:x-page:", "urn:x-page:5"]
+    assert sorted(x[0] for x in got if x[1] == "revisit") == ["urn:x-no-page:", "urn:x-page:5"]
     assert {x[2] for x in got if x[1] == "revisit"} == {"urn:x-page:3"}
 
 
@@ -60,6 +60,39 @@ def test_query(spark):
     assert {r.page_id: (r.payload_bytes, r.payload_digest) for r in rows} == {k: (len(v), hashlib.sha256(v).hexdigest()) for k, v in html.items()}
 
 
+def test_ids_of_any_text_come_back(spark, tmp_path):
+    long = "<p>" + "ü" * 200
+    rows = [("a:b", long), ("a:b:c", long), ("", long), (None, long), ("%41 +é", "short"), ("x\r\ny", None)]
+    frame = spark.createDataFrame([(i, "u", h, "clash", "clash") for i, h in rows], "page_id string, url string, html string, met_by string, first string")
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in warc.op9_warc(spark, str(tmp_path)).collect()}
+    assert set(got) == {i for i, _ in rows}
+    for i, h in rows:
+        data = (h or "").encode()
+        assert (got[i].payload_bytes, got[i].payload_digest) == (len(data), hashlib.sha256(data).hexdigest())
+        assert (got[i].record_type, got[i].refers_to) == (("revisit", "") if h == long and i != "" else ("response", None))
+
+
+def test_a_long_payload_and_equal_rows(spark, tmp_path):
+    rows = [(1, "u", "x" * 9_000_000), (1, "u", "x" * 9_000_000), (2, "u", "x" * 9_000_000)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_warc(warc.with_revisits(frame), str(tmp_path / "l"))
+    got = sorted((r.record_type, r.payload_length, len(r.payload or b"")) for r in warc.read_warc(spark, str(tmp_path / "l")).collect())
+    assert got == [("response", 9_000_000, 9_000_000)] * 2 + [("revisit", 9_000_000, 0)]
+
+
+def test_overwriting_and_two_writers_at_once(spark, tmp_path):
+    path = str(tmp_path / "o")
+    own = warc.with_revisits(pages(spark))
+    warc.write_warc(own, path)
+    other = warc.WarcWriter(path, False, True, 1 << 20)  # a job that has begun and not ended
+    own.write.format("warc").mode("overwrite").save(path)
+    assert warc.read_warc(spark, path).count() == own.count()
+    assert (tmp_path / "o" / other.own).exists()
+    other.abort([])
+    assert not (tmp_path / "o" / other.own).exists()
+
+
 def test_empty(spark, tmp_path):
     warc.write_warc(warc.with_revisits(pages(spark).limit(0)), str(tmp_path / "e"))
     assert warc.read_warc(spark, str(tmp_path / "e")).count() == 0
