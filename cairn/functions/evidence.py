@@ -20,9 +20,19 @@ CONTAINERS = ("/categories/latest", "/categories/ons geography open data")
 #: Phrases that point to quality notes and to methods, and a date that a resource stands at.
 QUALITY_NOTE = r"(?i)\b(?:data quality and limitations|quality assurance checks?|known limitations?/caveats?|known caveats and limitations)\b"
 METHOD_WORD = r"(?i)\bmethodolog(?:y|ies|ical)\b"
+REVISION_NOTE = (
+    r"(?i)(?:\b(?:this|the)\s+(?:file|dataset|product|guide|boundary set|documents? folder)\s+(?:(?:has|have) been\s+|(?:was|were|is|are)\s+)?(?:updated|corrected|amended|revised)\b|"
+    r"\b(?:file|dataset|product)\s+(?:has been\s+)?(?:updated|corrected|amended|revised)\b|"
+    r"\b(?:V(?:ersion)?\s*\d+(?:\.\d+)?)\s+(?:corrects?|updates?|amends?|revises?)\b|"
+    r"\b(?:note|n\.?b\.?)\s*[:.-]?\s*(?:updated|corrected|amended|revised)\b|"
+    r"\[(?:updated|corrected|amended|revised)\b|"
+    r"\b(?:amended|updated|corrected|revised)\s+\d{1,2}/\d{1,2}/\d{2,4}\b)"
+)
 QUALITY_LINK = r"(?i)(?:\bquality\b|\bqmi\b|\buncertaint(?:y|ies)\b|\brobustness\b)"
-MONTH = "January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec"
-AS_AT = rf"(?i)\bas at\s+((?:(?:\d{{1,2}}(?:st|nd|rd|th)?\s+)?(?:{MONTH})\s+)?((?:18|19|20)\d{{2}}))\b"
+AS_AT = (
+    r"(?i)\bas at\s+((?:(?:\d{1,2}(?:st|nd|rd|th)?\s+)?"
+    r"(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)\s+)?((?:18|19|20)\d{2}))\b"
+)
 URL = r"(?i)https?://[^\s<>\"'\[\]()]+"
 
 
@@ -91,6 +101,10 @@ def quality_note(text: Column) -> Column:
     return excerpt(text, QUALITY_NOTE)
 
 
+def revision_note(text: Column) -> Column:
+    return excerpt(text, REVISION_NOTE)
+
+
 def labelled_links(text: Column, label: str = METHOD_WORD, reach: int = 180) -> Column:
     """Sorted public URLs with a label in the characters before them; a URL's own characters count as text before the next."""
     links = F.regexp_extract_all(text, F.lit(URL), F.lit(0))
@@ -114,8 +128,8 @@ def utc_expiry(text: Column) -> Column:
     return F.when(whole, F.date_format(F.try_to_timestamp(text), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
 
 
-def period_extent(periods: Column) -> Column:
-    """(start, end) of periods that are all years or all months, each once; else null."""
+def period_extent(periods: Column, latest: Column) -> Column:
+    """(start, end) of periods that are all years or all months, each once and none after ``latest``, a month; else null."""
     years, months = (F.forall(periods, lambda p: p.rlike(r"^\d{4}$")), F.forall(periods, lambda p: p.rlike(r"^\d{4}-(?:0[1-9]|1[0-2])$")))
-    fit = (F.size(periods) > 0) & (years | months) & (F.size(F.array_distinct(periods)) == F.size(periods))
+    fit = (F.size(periods) > 0) & (years | months) & (F.size(F.array_distinct(periods)) == F.size(periods)) & F.forall(periods, lambda p: p <= F.left(latest, F.length(p)))
     return F.when(fit, F.struct(F.array_min(periods).alias("start"), F.array_max(periods).alias("end")))

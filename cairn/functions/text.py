@@ -42,15 +42,21 @@ def fold_any(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).casefold())
 
 
+#: The search tokens of a text are the longest runs of its pattern without points, lines and hyphens at their ends, of two characters at least.
+SEARCH_TOKEN = "[a-z0-9][a-z0-9._-]*[a-z0-9]"
+#: Keys of a URL's query that name a secret.
+SECRET_KEYS = (
+    "access_token", "apikey", "api_key", "authorization", "client_secret", "credential", "key", "password", "secret", "sig", "signature", "token", "uid", "x-api-key",
+)
+
+
 def _words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def search_tokens(text: Column, folded: Column | None = None) -> Column:
     """Distinct tokens in order of appearance, two characters or more, without stop words."""
-    stop = F.array(*map(F.lit, SEARCH_STOP_WORDS))
-    found = F.transform(_words(fold(text) if folded is None else folded, SEARCH_PATTERN), lambda t: F.btrim(t, F.lit("._-")))
-    return F.array_distinct(F.filter(found, lambda t: (F.length(t) >= 2) & ~F.array_contains(stop, t)))
+    return F.array_except(_words(fold(text) if folded is None else folded, SEARCH_TOKEN), F.array(*map(F.lit, SEARCH_STOP_WORDS)))
 
 
 def similarity_tokens(text: Column) -> Column:
@@ -109,7 +115,7 @@ def public_host(url: Column) -> Column:
 
 def safe_public_url(url: Column) -> Column:
     """Whether a URL has a public host and no query key that names a secret."""
-    secret = F.coalesce(F.try_parse_url(url, F.lit("QUERY")), F.lit("")).rlike("(?i)(^|&)(api_?key|access_?token|token|secret|password|signature|sig)=")
+    secret = F.coalesce(F.try_parse_url(url, F.lit("QUERY")), F.lit("")).rlike(f"(?i)(^|&)({'|'.join(SECRET_KEYS)})(=|&|$)")
     return F.coalesce(public_host(url).isNotNull(), F.lit(False)) & ~secret
 
 

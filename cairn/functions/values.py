@@ -52,6 +52,14 @@ def text_list(values: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v.isNotNull() & (v != ""))))
 
 
+def distinct_folded(values: Column) -> Column:
+    """Trimmed texts, of those that differ in case alone the first, sorted without regard to case."""
+    kept = F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v.isNotNull() & (v != ""))
+    low = F.transform(kept, lambda v: F.lower(v))
+    firsts = F.filter(kept, lambda v, i: F.array_position(low, F.lower(v)) == i + 1)
+    return F.transform(F.array_sort(F.transform(firsts, lambda v: F.struct(F.lower(v).alias("k"), v.alias("v")))), lambda x: x["v"])
+
+
 def epoch_timestamp(value: Column) -> Column:
     """Epoch seconds, or milliseconds beyond ten billion, as a UTC timestamp."""
     return F.when(value > 10_000_000_000, F.timestamp_millis(value)).otherwise(F.timestamp_seconds(value))

@@ -4,17 +4,31 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.operators import index
-from cairn.operators.identity import identities, lookup
+from cairn.operators.identity import KEYS, identities, lookup
 from cairn.operators.validate import SECRETS
 
 OUTCOMES = ("NOT_FOUND", "AMBIGUOUS", "INVALID_ARGUMENT", "BINDING_PLANNED", "REQUIRES_LIVE_INSPECTION", "PROHIBITED_INPUT")
 #: Argument names that must not be passed.
-FORBIDDEN = frozenset({"analysis", "chain_of_thought", "chainofthought", "hidden_reasoning", "private_reasoning", "raw_chain_of_thought"})
+FORBIDDEN = (
+    "access_token", "analysis", "api_key", "apikey", "authorization", "bearer", "chain_of_thought", "chainofthought", "credential", "credentials", "hidden_reasoning", "observation",
+    "observation_values", "observations", "password", "private_reasoning", "raw_chain_of_thought", "reasoning", "secret", "secrets", "thoughts",
+)
+#: Patterns of text that callers must not pass.
+PROHIBITED = {
+    "bearer": r"(?i)\bbearer\s+[a-z0-9._~+/=-]{12,}",
+    "key": r"\bsk-[A-Za-z0-9_-]{12,}",
+    "access_key": r"\bAKIA[A-Z0-9]{16}\b",
+    "repository_token": r"\bgh[pousr]_[A-Za-z0-9]{20,}\b",
+    "map_key": r"\bAIza[A-Za-z0-9_-]{30,}\b",
+    "home_path": r"(?i)(?:/Users/|/Volumes/|[A-Z]:\\Users\\)",
+}
 
 
 class Refused(ValueError):
@@ -29,20 +43,29 @@ def guard(value: object) -> None:
     """Refuse arguments with forbidden names or content that looks like a secret."""
     if isinstance(value, Mapping):
         for k, v in value.items():
-            if re.sub(r"[^a-z]+", "_", str(k).lower()) in FORBIDDEN:
+            if re.sub(r"[^a-z]+", "_", str(k).lower()).strip("_") in FORBIDDEN:
                 raise Refused("PROHIBITED_INPUT", f"argument {k!r} isn't accepted")
             guard(v)
     elif isinstance(value, (list, tuple)):
         for v in value:
             guard(v)
-    elif isinstance(value, str) and any(re.search(p, value) for p in SECRETS.values()):
+    elif isinstance(value, str) and any(re.search(p, value) for p in (*SECRETS.values(), *PROHIBITED.values())):
         raise Refused("PROHIBITED_INPUT", "the input looks like a secret")
 
 
+def refusals(names: Column, text: Column) -> Column:
+    """Why requests are refused, as ``guard`` does one by one: forbidden argument names and kinds of prohibited text, sorted."""
+    plain = F.transform(names, lambda n: F.btrim(F.regexp_replace(F.lower(n), "[^a-z]+", "_"), F.lit("_")))
+    forbidden = F.array_intersect(plain, F.array(*map(F.lit, FORBIDDEN)))
+    kinds = F.filter(F.array(*(F.when(text.rlike(p), F.lit(f"text:{k}")) for k, p in (PROHIBITED | SECRETS).items())), F.isnotnull)
+    return F.array_sort(F.concat(F.transform(forbidden, lambda n: F.concat(F.lit("name:"), n)), kinds))
+
+
 def resolve(records: DataFrame, identifier: str) -> str:
-    """The id of the one record that an identifier names."""
+    """The id of the one record that an identifier names; only records that hold it as one of their keys are grouped."""
     wanted = records.sparkSession.createDataFrame([(identifier,)], "wanted string")
-    found = lookup(identities(records), wanted).first()
+    holders = records.where(reduce(or_, (F.lower(k) == identifier.lower() for k in KEYS)))
+    found = lookup(identities(holders), wanted).first()
     if found["outcome"] != "FOUND":
         raise Refused(found["outcome"], f"no single record is {identifier!r}")
     return found["id"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.text import SEARCH_STOP_WORDS, browser_tokens, evidence_band, search_tokens, shard
+from cairn.functions.text import SEARCH_STOP_WORDS, browser_tokens, evidence_band, fold, search_tokens, shard
 from cairn.functions.values import MISSING
 
 #: Weight and mask of each search field.
@@ -48,18 +48,20 @@ def query_tokens(text: str) -> list[str]:
 def ranked(records: DataFrame, text: str, limit: int = 10) -> DataFrame:
     """The best records for a query: most distinct terms, then the sum of field weights, then title and id.
 
-    Scoring is one pass without a shuffle, and each task keeps its own best rows. A query without tokens returns the first records.
+    Scoring is one pass without a shuffle, over the records that hold a term's characters at all, and each task keeps its own
+    best rows. A query without tokens returns the first records.
     """
     terms = query_tokens(text)
     if not terms:
         return records.withColumns({"matched": F.lit(0), "score": F.lit(0)}).orderBy("source_surface", F.lower("title"), "id").limit(limit)
     wanted = F.array(*map(F.lit, terms))
     hits = {f: F.array_intersect(search_tokens(F.coalesce(c, F.lit(""))), wanted) for f, c in search_fields().items()}
-    rows = records.withColumns({f"_{f}": h for f, h in hits.items()})
+    any_term = "|".join(t.replace(".", r"\.") for t in terms)
+    rows = records.where(fold(F.concat_ws(" ", *search_fields().values())).rlike(any_term)).withColumns({f"_{f}": h for f, h in hits.items()})
     score = sum((F.size(f"_{f}") * WEIGHTS[f] for f in hits), F.lit(0))
     matched = F.size(F.array_distinct(F.concat(*(F.col(f"_{f}") for f in hits))))
-    rows = rows.withColumns({"matched": matched, "score": score}).drop(*(f"_{f}" for f in hits)).where("matched > 0")
-    return rows.orderBy(F.desc("matched"), F.desc("score"), F.lower("title"), "id").limit(limit)
+    rows = rows.withColumns({"matched": matched, "score": score}).drop(*(f"_{f}" for f in hits))
+    return rows.orderBy(F.desc("matched"), F.desc("score"), F.lower("title"), "id").limit(limit).where("matched > 0")
 
 
 def postings(corpus: DataFrame) -> DataFrame:

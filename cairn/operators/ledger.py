@@ -19,15 +19,20 @@ def coverage(pages: DataFrame) -> DataFrame:
     )
 
 
-def set_digest(rows: DataFrame, by: str, key: Column, shards: int = 16) -> DataFrame:
-    """Digest of the set of keys of each group: keys are hashed, sorted within shards of their hash, and the shards' digests joined.
+#: Hexadecimal digits of a hash by which a set is digested, level by level: a node of the tree joins 256 digests of the level below.
+LEVELS = (6, 4, 2, 0)
 
-    Shards bound what one task sorts; raise their number with the data.
+
+def set_digest(rows: DataFrame, by: str, key: Column) -> DataFrame:
+    """(by, n, digest) of the set of keys of each group: keys are hashed, sorted and digested within prefixes of their hash, and these digests again.
+
+    16.8 million prefixes keep what one row gathers small, also where one group holds most keys.
     """
-    hashed = rows.select(by, F.sha2(key, 256).alias("h")).distinct().withColumn("shard", F.pmod(F.conv(F.left("h", F.lit(4)), 16, 10).cast("long"), F.lit(shards)))
-    parts = hashed.groupBy(by, "shard").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ","), 256).alias("digest"), F.count(F.lit(1)).alias("n"))
-    whole = F.transform(F.sort_array(F.collect_list(F.struct("shard", "digest"))), lambda x: x["digest"])
-    return parts.groupBy(by).agg(F.sum("n").alias("n"), F.sha2(F.array_join(whole, ","), 256).alias("digest"))
+    parts = rows.select(by, F.sha2(key, 256).alias("h")).distinct().select(by, "h", F.col("h").alias("digest"), F.lit(1).cast("long").alias("n"))
+    for digits in LEVELS:
+        own = F.transform(F.sort_array(F.collect_list(F.struct("h", "digest"))), lambda x: x["digest"])
+        parts = parts.groupBy(by, F.left("h", F.lit(digits)).alias("h")).agg(F.sha2(F.array_join(own, ","), 256).alias("digest"), F.sum("n").alias("n"))
+    return parts.select(by, "n", "digest")
 
 
 def hash_sample(rows: DataFrame, key: str, n: int) -> DataFrame:

@@ -102,14 +102,64 @@ def reconcile(records: DataFrame, anchor: Column) -> DataFrame:
     return both.select("code", "status", F.when(F.col("anchors") == 1, F.col("a.id")).alias("anchor_id"), chosen.alias("candidate_id"), "anchors", F.col("n").alias("candidates"))
 
 
+def assertion_id(source: Column, predicate: Column, target: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.concat(F.lit("record/"), source), predicate, F.concat(F.lit("record/"), target)), 256)
+
+
 def triples(edges: DataFrame) -> DataFrame:
     """(subject, predicate, object, status, rule, assertion_id) of (source, target, kind) edges."""
     kinds = edges.sparkSession.createDataFrame([(k, *v) for k, v in KINDS.items()], "kind string, predicate string, status string, rule string")
     own = edges.join(F.broadcast(kinds), "kind")
     subject, object_ = F.concat(F.lit("record/"), "source"), F.concat(F.lit("record/"), "target")
-    return own.select(
-        subject.alias("subject"), "predicate", object_.alias("object"), "status", "rule", F.sha2(F.concat_ws("|", subject, "predicate", object_), 256).alias("assertion_id")
-    )
+    return own.select(subject.alias("subject"), "predicate", object_.alias("object"), "status", "rule", assertion_id(F.col("source"), F.col("predicate"), F.col("target")).alias("assertion_id"))
+
+
+#: Provenance fields that may tell when evidence was seen, in order, and what is said where none does.
+SEEN = ("retrieved_at", "source_commit_as_of", "source_as_of")
+NOT_SEEN = "bundle-publication-generated-at; source retrieval not evidenced"
+
+
+def evidence_time(provenance: str, generated_at: str) -> tuple[Column, Column]:
+    """When evidence was seen and the field that says so, from a map of provenance; else when the bundle was made."""
+    fields = [F.nullif(F.trim(F.try_element_at(provenance, F.lit(f))), F.lit("")) for f in SEEN]
+    basis = F.coalesce(*(F.when(f.isNotNull(), f"provenance.{name}") for f, name in zip(fields, SEEN, strict=True)), F.lit(NOT_SEEN))
+    return F.coalesce(*fields, F.lit(generated_at)), basis
+
+
+def unregistered(edges: DataFrame, records: DataFrame) -> DataFrame:
+    """(source, target, kind) of edges without both endpoints or of an unknown kind; none may remain."""
+    keys = records.select(F.col("id").alias("key"))
+    missing = edges.join(keys, edges["source"] == F.col("key"), "left_anti").unionAll(edges.join(keys, edges["target"] == F.col("key"), "left_anti"))
+    return missing.unionAll(edges.where(~F.col("kind").isin(*KINDS))).select("source", "target", "kind").distinct()
+
+
+def compiled(edges: DataFrame, records: DataFrame, generated_at: str) -> DataFrame:
+    """One assertion for each (source, target, kind, score) edge with both endpoints: its identity, scope, evidence of both sides, rights and confidence.
+
+    Edges whose endpoints aren't both known, and scores outside 0 to 1, are for ``unregistered`` and ``out_of_range`` to tell. records: id, title, license_id,
+    url and a map ``provenance``.
+    """
+    at, basis = evidence_time("provenance", generated_at)
+    value = F.sha2(F.to_json(F.struct(F.col("title"), F.array_sort("tags").alias("tags"), F.array_sort("topics").alias("topics"))), 256)
+    own = records.select(
+        F.col("id"), F.struct(
+            F.concat(F.lit("record:"), "id").alias("locator"), at.alias("retrieved_at"), basis.alias("basis"), F.coalesce(F.nullif(F.try_element_at("provenance", F.lit("source_url")), F.lit("")), F.lit("data/governance/release.json")).alias("url"),
+            value.alias("value"), F.coalesce("license_id", F.lit("not-evaluated")).alias("license_id"),
+        ).alias("e"),
+    )
+    both = edges.join(own.select(F.col("id").alias("source"), F.col("e").alias("s")), "source").join(own.select(F.col("id").alias("target"), F.col("e").alias("t")), "target")
+    similar = F.col("kind") != "cross-source-representation"
+    kinds = edges.sparkSession.createDataFrame([(k, *v) for k, v in KINDS.items()], "kind string, predicate string, status string, rule string")
+    out = both.join(F.broadcast(kinds), "kind").withColumn("assertion_id", assertion_id(F.col("source"), F.col("predicate"), F.col("target")))
+    return out.select(
+        "assertion_id", "source", "predicate", "target", "status", "rule", F.when(similar, F.col("score")).alias("confidence"), similar.alias("discovery_only"),
+        *(F.col(f"{side}.{f}").alias(f"{name}_{f}") for side, name in (("s", "source"), ("t", "target")) for f in ("locator", "retrieved_at", "basis", "url", "value", "license_id")),
+    )
+
+
+def out_of_range(edges: DataFrame) -> DataFrame:
+    """Edges between similar records whose score isn't between 0 and 1."""
+    return edges.where((F.col("kind") != "cross-source-representation") & ~F.coalesce(F.col("score").between(0, 1), F.lit(False)))
 
 
 def grouped_targets(rows: DataFrame, block: int = 64) -> DataFrame:

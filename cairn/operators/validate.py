@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -36,35 +38,85 @@ def secret_kinds(text: Column) -> Column:
     return F.filter(F.array(*(F.when(text.rlike(p), F.lit(k)) for k, p in SECRETS.items())), F.isnotnull)
 
 
-def schema_rules(schema: dict[str, Any], value: Column, path: str = "$") -> dict[str, Column]:
-    """Rules for a variant column from a subset of JSON Schema: type, const, enum, required, properties, minLength, pattern, minimum, maximum.
+#: Kinds of variants that each type of a schema takes.
+KINDS = {
+    "string": ("STRING",), "integer": ("BIGINT", "INT"), "number": ("BIGINT", "INT", "DOUBLE", "DECIMAL", "FLOAT"), "boolean": ("BOOLEAN",), "object": ("OBJECT",), "array": ("ARRAY",), "null": ("VOID",),
+}
+FORMATS = {
+    "uri": lambda x: x.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:\S*$"),
+    "date-time": lambda x: x.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:\d{2})$") & F.try_to_timestamp(x).isNotNull(),
+}
+
 
-    Nested properties are unrolled here, so the result is a flat set of built-in expressions.
+def schema_rules(schema: dict[str, Any], value: Column, path: str = "$", root: dict[str, Any] | None = None) -> dict[str, Column]:
+    """Rules for a variant column from a subset of JSON Schema: type, const, enum, oneOf, allOf, if and then, required, properties,
+    additionalProperties, minItems, uniqueItems, items, minLength, pattern, format, minimum, maximum and local references.
+
+    Nested schemas are unrolled here, so the result is a flat set of built-in expressions. A value of another type than the schema's
+    breaks that rule alone, and a rule holds for values that it doesn't speak of: a least length for numbers, say.
     """
-    here = F.try_variant_get(value, path, "string")
-    kind = F.regexp_extract(F.schema_of_variant(F.try_variant_get(value, path, "variant")), "^[A-Z]+", 0)
-    there = kind.isNotNull() & (kind != "VOID")
-    rules: dict[str, Column] = {}
-    kinds = {"string": ["STRING"], "integer": ["BIGINT", "INT"], "number": ["BIGINT", "INT", "DOUBLE", "DECIMAL", "FLOAT"], "boolean": ["BOOLEAN"], "object": ["OBJECT"], "array": ["ARRAY"]}
+    root = root or schema
+    if "$ref" in schema:
+        target: Any = root
+        for part in schema["$ref"].removeprefix("#/").split("/"):
+            target = target[part]
+        return schema_rules(target, value, path, root)
+    here, text = F.try_variant_get(value, path, "variant"), F.try_variant_get(value, path, "string")
+    kind = F.regexp_extract(F.schema_of_variant(here), "^[A-Z]+", 0)
+    is_a = lambda name: F.coalesce(kind.isin(*KINDS[name]), F.lit(False))
+    there, rules = here.isNotNull(), {}
     if "type" in schema:
-        rules[f"{path}:type"] = ~there | kind.isin(*kinds[schema["type"]])
+        rules["type"] = is_a(schema["type"])
     if "const" in schema:
-        rules[f"{path}:const"] = ~there | (here == str(schema["const"]))
+        rules["const"] = F.coalesce(text == constant(schema["const"]), F.lit(False))
     if "enum" in schema:
-        rules[f"{path}:enum"] = ~there | here.isin(*map(str, schema["enum"]))
+        rules["enum"] = F.coalesce(text.isin(*map(constant, schema["enum"])), F.lit(False))
     if "minLength" in schema:
-        rules[f"{path}:minLength"] = ~there | (F.length(here) >= schema["minLength"])
+        rules["minLength"] = ~is_a("string") | (F.length(text) >= schema["minLength"])
     if "pattern" in schema:
-        rules[f"{path}:pattern"] = ~there | here.rlike(schema["pattern"])
-    for name, low in (("minimum", True), ("maximum", False)):
-        if name in schema:
-            number = F.try_variant_get(value, path, "double")
-            rules[f"{path}:{name}"] = ~there | (number >= schema[name] if low else number <= schema[name])
+        rules["pattern"] = ~is_a("string") | text.rlike(schema["pattern"])
+    if "format" in schema:
+        rules["format"] = ~is_a("string") | FORMATS[schema["format"]](text)
+    number = F.try_variant_get(value, path, "double")
+    if "minimum" in schema:
+        rules["minimum"] = ~is_a("number") | (number >= schema["minimum"])
+    if "maximum" in schema:
+        rules["maximum"] = ~is_a("number") | (number <= schema["maximum"])
+    items = F.try_variant_get(value, path, "array<variant>")
+    if "minItems" in schema:
+        rules["minItems"] = ~is_a("array") | (F.size(items) >= schema["minItems"])
+    if schema.get("uniqueItems"):
+        texts = F.transform(items, lambda x: F.to_json(x))
+        rules["uniqueItems"] = ~is_a("array") | (F.size(F.array_distinct(texts)) == F.size(texts))
+    if "items" in schema:
+        rules["items"] = ~is_a("array") | F.forall(items, lambda x: fits(schema["items"], x, "$", root))
+    if "oneOf" in schema:
+        rules["oneOf"] = sum((fits(s, value, path, root).cast("int") for s in schema["oneOf"]), F.lit(0)) == 1
+    if "if" in schema and "then" in schema:
+        rules["then"] = ~fits(schema["if"], value, path, root) | fits(schema["then"], value, path, root)
     for name in schema.get("required", []):
-        rules[f"{path}.{name}:required"] = F.try_variant_get(value, f"{path}.{name}", "variant").isNotNull()
+        rules[f"required {name}"] = ~is_a("object") | F.try_variant_get(value, f"{path}.{name}", "variant").isNotNull()
+    if schema.get("additionalProperties") is False:
+        names = F.map_keys(F.try_variant_get(value, path, "map<string,variant>"))
+        rules["additionalProperties"] = ~is_a("object") | (F.size(F.array_except(names, F.array(*map(F.lit, schema.get("properties", {}))))) == 0)
+    out = {f"{path}:{name}": ~there | F.coalesce(ok, F.lit(False)) for name, ok in rules.items()}
+    if "type" in schema:  # nothing else is said of a value of another type
+        out = {name: ok if name == f"{path}:type" else ~is_a(schema["type"]) | ok for name, ok in out.items()}
+    for part in schema.get("allOf", []):
+        out |= schema_rules(part, value, path, root)
     for name, inner in schema.get("properties", {}).items():
-        rules |= schema_rules(inner, value, f"{path}.{name}")
-    return rules
+        out |= schema_rules(inner, value, f"{path}.{name}", root)
+    return out
+
+
+def constant(x: object) -> str:
+    """A constant as a variant's text."""
+    return str(x).lower() if isinstance(x, bool) else str(x)
+
+
+def fits(schema: dict[str, Any], value: Column, path: str = "$", root: dict[str, Any] | None = None) -> Column:
+    """Whether a value breaks no rule of a schema."""
+    return reduce(and_, schema_rules(schema, value, path, root).values(), F.lit(True))
 
 
 def reachable(edges: DataFrame) -> DataFrame:

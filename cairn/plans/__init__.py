@@ -1,6 +1,6 @@
 """All queries by name."""
 
-from cairn.plans import broker, evaluation, gaps, ledger, relate, search
+from cairn.plans import broker, evaluation, evidence, gaps, ledger, relate, search, sources
 from cairn.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "broker", "evaluation", "gaps", "ledger", "relate", "search"]
+__all__ = ["QUERIES", "SQL", "broker", "evaluation", "evidence", "gaps", "ledger", "relate", "search", "sources"]

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions.text import search_tokens
@@ -13,25 +11,35 @@ from cairn.operators.index import WEIGHTS
 from cairn.plans import sql
 from cairn.plans.registry import query
 from cairn.plans.search import FIELDS_SQL
+from cairn.scratch import broadcast_if, materialize
 from cairn.sources.records import records, table
 
 
 def suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A query for each benchmark passage: the first eight of its search tokens in alphabetical order."""
+    """A query for each benchmark passage: its search tokens."""
     rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("passage"))
-    return rows.withColumn("terms", F.slice(F.array_sort(search_tokens(F.col("passage"))), 1, 8))
+    return rows.withColumn("terms", search_tokens(F.col("passage")))
+
+
+def spaced(text: Column) -> Column:
+    """Letters and digits with one space between words and at both ends."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), F.lit(" "))
 
 
-def qrels(spark: SparkSession, sf_dir: str, block: int = 1000) -> DataFrame:
-    """Documents that hold a passage word for word, graded by their label.
+def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage's words in a row, graded by their label.
 
-    The suite is a stated set of queries: each document is tested against its passages, a block of at most about ``block`` of them at a time.
+    A document is tested only against passages whose rarest word it holds, so that no table meets all rows of another.
     """
-    own = suite(spark, sf_dir).where(F.length("passage") > 45).select("query_id", "passage")
-    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("documents:"), F.col("doc_id").cast("string")).alias("id"), "doc_id", "text")
-    blocks = -(-own.count() // block) or 1
-    parts = [own.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k) for k in range(blocks)]
-    held = reduce(DataFrame.unionAll, (docs.join(F.broadcast(p), F.contains("text", "passage")).select("query_id", "id", "doc_id") for p in parts))
+    own = suite(spark, sf_dir).select("query_id", spaced(F.col("passage")).alias("passage")).where("passage <> '  '")
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("documents:"), F.col("doc_id").cast("string")).alias("id"), "doc_id", spaced(F.col("text")).alias("text"))
+    words = lambda c: F.explode(F.array_distinct(F.split(F.trim(c), " "))).alias("word")
+    wanted = own.select("query_id", words("passage"))
+    holders = materialize(docs.select("doc_id", words("text")).join(broadcast_if(wanted.select("word").distinct(), 200_000), "word"), "holders")
+    often = holders.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    rarest = wanted.join(often, "word").groupBy("query_id").agg(F.min(F.struct("n", "word")).alias("r")).select("query_id", F.col("r.word").alias("word"))
+    near = holders.join(rarest, "word").select("query_id", "doc_id").join(own, "query_id")
+    held = docs.join(near, "doc_id").where(F.contains("text", "passage")).select("query_id", "id", "doc_id")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     graded = held.join(labels, "doc_id", "left").select("query_id", "id", F.when(F.col("quality") == 1, 3).when(F.col("quality") == 0, 1).otherwise(2).alias("grade"))
     first = graded.groupBy("query_id").agg(F.min(F.struct((-F.col("grade")).alias("g"), "id")).alias("b")).select("query_id", F.col("b.id").alias("best"))
@@ -44,10 +52,11 @@ def ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FIELDS = " UNION ALL ".join(f"SELECT id, title, {WEIGHTS[f]} AS w, unnest({sql.tokens(f'coalesce({x}, {chr(39) * 2})')}) AS token FROM r" for f, x in FIELDS_SQL.items())
-IR_SQL = f"""WITH {sql.records("documents")}, f AS ({FIELDS}), q AS (SELECT item_id AS query_id, text AS passage, unnest(list_sort({sql.tokens("text")})[1:8]) AS token FROM benchmark),
+SPACED_SQL = "' ' || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) || ' '"
+IR_SQL = f"""WITH {sql.records("documents")}, f AS ({FIELDS}), q AS (SELECT item_id AS query_id, text AS passage, unnest({sql.tokens("text")}) AS token FROM benchmark),
 s AS (SELECT query_id, id, title, count(DISTINCT token) AS matched, sum(w) AS score FROM f JOIN q USING (token) GROUP BY query_id, id, title),
 ranks AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY matched DESC, score DESC, lower(title), id) AS rank FROM s QUALIFY rank <= 10),
-g AS (SELECT item_id AS query_id, 'documents:' || doc_id AS id, CASE quality WHEN 1 THEN 3 WHEN 0 THEN 1 ELSE 2 END AS grade FROM documents d JOIN benchmark b ON length(b.text) > 45 AND contains(d.text, b.text) LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id)),
+g AS (SELECT item_id AS query_id, 'documents:' || doc_id AS id, CASE quality WHEN 1 THEN 3 WHEN 0 THEN 1 ELSE 2 END AS grade FROM (SELECT doc_id, {SPACED_SQL} AS t FROM documents) d JOIN (SELECT item_id, {SPACED_SQL} AS t FROM benchmark) b ON b.t <> '  ' AND contains(d.t, b.t) LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id)),
 j AS (SELECT g.*, row_number() OVER (PARTITION BY query_id ORDER BY grade DESC, id) AS ideal, rank FROM g LEFT JOIN ranks USING (query_id, id)),
 m AS (SELECT query_id, count(*) AS relevant, {", ".join(f"round(count(*) FILTER (rank <= {k}) / count(*), 6) AS recall_{k}" for k in ev.CUTOFFS)},
  coalesce(round(1 / min(rank), 6), 0) AS mrr, coalesce(round(1 / min(rank) FILTER (ideal = 1), 6), 0) AS primary_mrr,

@@ -14,15 +14,14 @@ from cairn.sources.records import LANES, records, table
 
 @query(
     f"""WITH {sql.records()}, p AS (SELECT source_surface AS source, CAST(native_id AS BIGINT) // 100 AS page, count(*) AS seen, count(*) FILTER (title IS NOT NULL AND length(title) > 8) AS normalised FROM r GROUP BY ALL)
-    SELECT source, CAST(sum(normalised) AS BIGINT) AS represented, CAST(greatest(sum(seen) - sum(normalised), 0) AS BIGINT) AS dropped, CAST(greatest(sum(seen) + 3 - sum(normalised), 0) AS BIGINT) AS unrepresented, bool_and(seen = normalised) AS complete FROM p GROUP BY source"""
+    SELECT source, CAST(sum(normalised) AS BIGINT) AS represented, CAST(greatest(sum(seen) - sum(normalised), 0) AS BIGINT) AS dropped, CAST(greatest(any_value(reported) - sum(normalised), 0) AS BIGINT) AS unrepresented, bool_and(seen = normalised) AS complete FROM p JOIN (SELECT source_surface AS source, max(CAST(native_id AS BIGINT)) AS reported FROM r GROUP BY 1) USING (source) GROUP BY source"""
 )
 def coverage_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of a hundred ids; rows with a title of eight characters or fewer count as dropped, and each source reports three more rows than it has."""
+    """Pages of a hundred ids; rows with a title of eight characters or fewer count as dropped, and a source's greatest id tells how many rows it reports."""
     named = F.col("title").isNotNull() & (F.length("title") > 8)
-    rows = records(spark, sf_dir).groupBy(F.col("source_surface").alias("source"), F.floor(F.col("native_id").cast("long") / 100).alias("page"))
-    pages = rows.agg(F.count(F.lit(1)).alias("seen"), F.count_if(named).alias("normalised"))
-    total = pages.groupBy("source").agg((F.sum("seen") + 3).alias("reported"))
-    return ledger.coverage(pages.join(F.broadcast(total), "source"))
+    number = F.col("native_id").cast("long")
+    rows = records(spark, sf_dir).groupBy(F.col("source_surface").alias("source"), F.floor(number / 100).alias("page"))
+    return ledger.coverage(rows.agg(F.count(F.lit(1)).alias("seen"), F.count_if(named).alias("normalised"), F.max(number).alias("reported")))
 
 
 @query("SELECT event_type, strftime(min(ts), '%Y-%m') AS first_month, strftime(max(ts), '%Y-%m') AS last_month, CAST(epoch_us(max(ts)) AS BIGINT) AS latest FROM events GROUP BY event_type")
@@ -42,11 +41,15 @@ def epoch_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.normalised_epochs(both, "value").select("event_id", "at")
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS missing FROM events")
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN event_id % 3 = 0 THEN 'dotted ' || event_id WHEN event_id % 3 = 1 THEN 'nested ' || event_id END AS dotted, CAST(NULL AS VARCHAR) AS missing FROM events")
 def json_path_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key that holds the whole path goes before the path: of every three events one has both, one the path alone, one neither."""
+    at = lambda doc, path, kind: F.coalesce(F.try_variant_get(doc, f"$['{path}']", kind), F.try_variant_get(doc, f"$.{path}", kind))
+    number, id_ = F.col("event_id") % 3, F.col("event_id").cast("string")
+    nested = F.when(number < 2, F.struct(F.concat(F.lit("nested "), id_).alias("b")))
+    made = F.parse_json(F.to_json(F.struct(F.when(number == 0, F.concat(F.lit("dotted "), id_)).alias("a.b"), nested.alias("a"))))
     doc = F.try_parse_json("props")
-    exact = lambda path, kind: F.coalesce(F.try_variant_get(doc, f"$['{path}']", kind), F.try_variant_get(doc, f"$.{path}", kind))
-    return table(spark, sf_dir, "events").select("event_id", exact("k", "bigint").alias("k"), exact("a.b", "string").alias("missing"))
+    return table(spark, sf_dir, "events").select("event_id", at(doc, "k", "bigint").alias("k"), at(made, "a.b", "string").alias("dotted"), at(made, "a.c", "string").alias("missing"))
 
 
 SECRET_SQL = ", ".join("CASE WHEN regexp_matches(text, '" + p.replace("'", "''") + f"') THEN '{k}' END" for k, p in validate.SECRETS.items())
@@ -92,7 +95,7 @@ def replacement_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {sql.records()}, h AS (SELECT DISTINCT source_surface, sha256(id || '|' || coalesce(title, '')) AS h FROM r), p AS (SELECT source_surface, CAST(('0x' || h[1:4]) AS BIGINT) % 16 AS shard, count(*) AS n, sha256(string_agg(h, ',' ORDER BY h)) AS digest FROM h GROUP BY ALL) SELECT source_surface, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(digest, ',' ORDER BY shard)) AS digest FROM p GROUP BY source_surface"
+    f"WITH {sql.records()}, hashed AS (SELECT source_surface, sha256(id || '|' || coalesce(title, '')) AS h FROM r), {sql.set_digest('source_surface', 'hashed')} SELECT source_surface, n, digest FROM digests"
 )
 def checksum_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.set_digest(records(spark, sf_dir), "source_surface", F.concat_ws("|", "id", F.coalesce("title", F.lit(""))))
@@ -114,12 +117,47 @@ def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCHEMA = {"type": "object", "required": ["k", "user"], "properties": {"k": {"type": "integer", "minimum": 10, "maximum": 80}, "user": {"type": "string", "minLength": 1}}}
 
 
-@query("SELECT event_id, '$.user:required' AS rule FROM events UNION ALL SELECT event_id, '$.k:minimum' FROM events WHERE CAST(json_extract(props, '$.k') AS INTEGER) < 10 UNION ALL SELECT event_id, '$.k:maximum' FROM events WHERE CAST(json_extract(props, '$.k') AS INTEGER) > 80")
+@query("SELECT event_id, '$:required user' AS rule FROM events UNION ALL SELECT event_id, '$.k:minimum' FROM events WHERE CAST(json_extract(props, '$.k') AS INTEGER) < 10 UNION ALL SELECT event_id, '$.k:maximum' FROM events WHERE CAST(json_extract(props, '$.k') AS INTEGER) > 80")
 def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("doc"))
     return validate.violations(rows, "event_id", validate.schema_rules(SCHEMA, F.col("doc")))
 
 
+#: A schema with every keyword, and for each of its documents' defects the rule that it breaks. A document has the defect of its number modulo their count.
+WHOLE_SCHEMA = {
+    "type": "object", "required": ["id", "kind"], "additionalProperties": False, "definitions": {"tag": {"type": "string", "minLength": 2}},
+    "properties": {
+        "id": {"type": "string", "pattern": "^o[0-9]+$"}, "kind": {"enum": ["F", "O", "P"]}, "version": {"const": 2}, "at": {"type": "string", "format": "date-time"}, "url": {"type": "string", "format": "uri"},
+        "tags": {"type": "array", "minItems": 1, "uniqueItems": True, "items": {"$ref": "#/definitions/tag"}}, "size": {"oneOf": [{"type": "integer", "minimum": 10}, {"type": "string"}, {"type": "integer", "maximum": 20}]},
+        "open": {"type": "boolean"}, "note": {},
+    },
+    "allOf": [{"properties": {"note": {"type": "null"}}}], "if": {"properties": {"kind": {"const": "F"}, "open": {"const": True}}, "required": ["open"]}, "then": {"required": ["url"]},
+}
+#: name of a defect: (field, JSON in place of its value or nothing to leave it out, rule that this breaks)
+DEFECTS = {
+    "none": ("version", "2", ""), "no id": ("id", None, "$:required id"), "id of another form": ("id", '"x"', "$.id:pattern"), "id a number": ("id", "7", "$.id:type"), "kind": ("kind", '"Q"', "$.kind:enum"),
+    "version": ("version", "3", "$.version:const"), "time": ("at", '"2024-01-01"', "$.at:format"), "uri": ("url", '"no uri"', "$.url:format"), "no tags": ("tags", "[]", "$.tags:minItems"), "equal tags": ("tags", '["ab","ab"]', "$.tags:uniqueItems"),
+    "short tag": ("tags", '["ab","c"]', "$.tags:items"), "size fits twice": ("size", "15", "$.size:oneOf"), "note": ("note", '"x"', "$.note:type"), "more": ("more", "1", "$:additionalProperties"), "open": ("open", '"yes"', "$.open:type"),
+}
+FIELDS_JSON = {"id": "concat('\"o', CAST(o_orderkey AS STRING), '\"')", "kind": "concat('\"', o_orderstatus, '\"')", "version": "'2'", "at": "'\"2024-05-01T10:00:00Z\"'", "url": "'\"https://h.example/a\"'", "tags": "'[\"ab\",\"cd\"]'", "size": "'30'", "open": "'true'"}
+NTH = f"o_orderkey % {len(DEFECTS)}"
+
+
+def field_json(name: str) -> str:
+    """A field of a document, with its defect where the document's number says so; null leaves it out."""
+    cases = " ".join(f"WHEN {n} THEN {'NULL' if v is None else repr(v)}" for n, (field, v, _) in enumerate(DEFECTS.values()) if field == name)
+    value = FIELDS_JSON.get(name, "NULL")
+    return f"CASE {NTH} {cases} ELSE {value} END" if cases else value
+
+
+@query(f"SELECT o_orderkey, x.rule FROM orders JOIN (VALUES {', '.join(f'({n}, {r!r})' for n, (_, _, r) in enumerate(DEFECTS.values()) if r)}) AS x(n, rule) ON x.n = {NTH}")
+def schema_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that JSON documents break, one document for each order."""
+    made = F.concat(F.lit("{"), F.concat_ws(",", *(F.concat(F.lit(f'"{f}":'), F.expr(field_json(f))) for f in (*FIELDS_JSON, "note", "more"))), F.lit("}"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.parse_json(made).alias("doc"))
+    return validate.violations(rows, "o_orderkey", validate.schema_rules(WHOLE_SCHEMA, F.col("doc")))
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders ANTI JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 3) ON o_custkey = c_custkey")
 def foreign_key_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of customers outside a subset of nine tenths of them."""

@@ -9,20 +9,20 @@ from cairn.functions.text import similarity_tokens
 from cairn.operators import relate
 from cairn.operators.identity import alias_resolution as resolve_aliases
 from cairn.operators.identity import compare, identities, lookup
+from cairn.operators.ledger import set_digest
 from cairn.plans import sql
 from cairn.plans.registry import query
 from cairn.scratch import materialize
 from cairn.sources.records import corpus, records, table
 
-LANES = ("parts", "suppliers", "customers")
+LANES = tuple(sql.LANES)
 
 
 def similar_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, whose titles are long enough to compare."""
-    return records(spark, sf_dir, "documents")
+    return records(spark, sf_dir)
 
 
-PAIRS_SQL = f"""WITH {sql.records("documents")}, t AS (SELECT id, title, source_surface, list_distinct({sql.similarity("coalesce(title, '')")}) AS tt, list_distinct({sql.similarity("concat_ws(' ', title, array_to_string(topics, ' '), array_to_string(tags, ' '))")}) AS ta FROM r),
+PAIRS_SQL = f"""WITH {sql.records()}, t AS (SELECT id, title, source_surface, list_distinct({sql.similarity("coalesce(title, '')")}) AS tt, list_distinct({sql.similarity("concat_ws(' ', title, array_to_string(topics, ' '), array_to_string(tags, ' '))")}) AS ta FROM r),
 e AS (SELECT id, unnest(ta) AS token FROM t), rare AS (SELECT token FROM e GROUP BY token HAVING count(*) BETWEEN 2 AND 500),
 p AS (SELECT DISTINCT a.id AS id, b.id AS other FROM e a JOIN e b USING (token) JOIN rare USING (token) WHERE a.id <> b.id),
 s AS (SELECT p.id, p.other, y.title AS title, x.ta AS a1, y.ta AS a2, x.source_surface AS s1, y.source_surface AS s2,
@@ -92,35 +92,83 @@ def relationship_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relate.triples(edges(spark, sf_dir))
 
 
-@query(TRIPLES_SQL + " SELECT predicate, substr(assertion_id, 1, 1) AS shard, count(*) AS n, sha256(string_agg(assertion_id, ',' ORDER BY assertion_id)) AS digest FROM tr GROUP BY ALL")
+@query(TRIPLES_SQL + f", hashed AS (SELECT predicate, sha256(assertion_id) AS h FROM tr), {sql.set_digest('predicate', 'hashed')} SELECT predicate, n, digest FROM digests")
 def triple_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A digest of the sorted assertions of each predicate, by the first digit of their ids so that no group holds them all."""
-    own = relate.triples(edges(spark, sf_dir)).withColumn("shard", F.left("assertion_id", F.lit(1)))
-    return own.groupBy("predicate", "shard").agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("assertion_id")), ","), 256).alias("digest"))
+    """A digest of the set of assertions of each predicate."""
+    return set_digest(relate.triples(edges(spark, sf_dir)), "predicate", F.col("assertion_id"))
 
 
-@query(TRIPLES_SQL + " SELECT count(*) AS disagreeing FROM tr WHERE false")
+@query(TRIPLES_SQL + " SELECT CASE WHEN assertion_id < '1' THEN 'not in direct' ELSE 'twice in reified' END AS kind, count(*) AS disagreeing FROM tr WHERE assertion_id < '2' GROUP BY 1")
 def projection_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runtime, reified and direct triples must be the same set, each once: counts what disagrees."""
+    """Runtime, reified and direct triples must be the same set, each once: counts what disagrees.
+
+    Assertions whose id begins with 0 were left out of the direct triples, and those with 1 reified twice.
+    """
     runtime = materialize(relate.triples(edges(spark, sf_dir)), "triples")
-    direct = relate.grouped_targets(runtime).select("subject", "predicate", F.explode("objects").alias("object"))
-    reified = runtime.groupBy("assertion_id").agg(F.min(F.struct("subject", "predicate", "object")).alias("t")).select("t.*")
-    return relate.disagreement(runtime, reified, direct).agg(F.count(F.lit(1)).alias("disagreeing"))
+    direct = relate.grouped_targets(runtime.where("assertion_id >= '1'")).select("subject", "predicate", F.explode("objects").alias("object"))
+    reified = runtime.groupBy("assertion_id").agg(F.min(F.struct("subject", "predicate", "object")).alias("t")).select("t.*", "assertion_id")
+    reified = reified.unionAll(reified.where("assertion_id >= '1' AND assertion_id < '2'"))
+    kind = F.when(F.col("in_2") == 0, "not in direct").when(F.col("in_1") > 1, "twice in reified").otherwise("other")
+    return relate.disagreement(runtime, reified, direct).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("disagreeing"))
+
+
+GENERATED = "2026-01-01T00:00:00Z"
+#: Provenance of a record by its number modulo four: all fields, the second, the third, none.
+SEEN_SQL = """CASE CAST(native_id AS BIGINT) % 4 WHEN 0 THEN '2025-01-01' WHEN 1 THEN '2025-02-02' WHEN 2 THEN '2025-03-03' ELSE '2026-01-01T00:00:00Z' END"""
+BASIS_SQL = f"CASE CAST(native_id AS BIGINT) % 4 WHEN 0 THEN 'provenance.retrieved_at' WHEN 1 THEN 'provenance.source_commit_as_of' WHEN 2 THEN 'provenance.source_as_of' ELSE '{relate.NOT_SEEN}' END"
+
+
+def evidenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("native_id").cast("long") % 4
+    fields = {"retrieved_at": F.when(number == 0, "2025-01-01"), "source_commit_as_of": F.when(number < 2, "2025-02-02"), "source_as_of": F.when(number < 3, " 2025-03-03 "), "source_url": F.col("url")}
+    return similar_records(spark, sf_dir).withColumn("provenance", F.create_map(*(x for k, v in fields.items() for x in (F.lit(k), v))))
+
+
+def scored_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alternatives with their scores; every fifth record is joined to one that isn't there, and every seventh has a score over 1."""
+    near = relate.alternatives(similar_records(spark, sf_dir)).select(F.col("id").alias("source"), F.col("other").alias("target"), "kind", "similarity", "rank")
+    number = F.split_part("source", F.lit(":"), F.lit(2)).cast("long")
+    target = F.when((number % 5 == 0) & (F.col("rank") == 1), "documents:none").otherwise(F.col("target"))
+    return near.select("source", target.alias("target"), "kind", (F.col("similarity") + F.when(number % 7 == 0, 1).otherwise(0)).alias("score"))
+
+
+EDGES_SQL = PAIRS_SQL + f""", n AS (SELECT id AS source, CASE WHEN CAST(split_part(id, ':', 2) AS BIGINT) % 5 = 0 AND rank = 1 THEN 'documents:none' ELSE other END AS target, CASE WHEN s1 = s2 THEN 'alternative' ELSE 'cross-source-alternative' END AS kind,
+ round(score, 3) + CASE WHEN CAST(split_part(id, ':', 2) AS BIGINT) % 7 = 0 THEN 1 ELSE 0 END AS score FROM q WHERE rank <= 4),
+k AS (SELECT * FROM (VALUES """ + ", ".join(f"('{k}', '{p}', '{s}', '{r}')" for k, (p, s, r) in relate.KINDS.items()) + f""") AS x(kind, predicate, status, rule)),
+w AS (SELECT id, {SEEN_SQL} AS seen, {BASIS_SQL} AS basis, coalesce(nullif(url, ''), 'data/governance/release.json') AS url, coalesce(license_id, 'not-evaluated') AS license_id FROM r)"""
+
+
+@query(
+    EDGES_SQL + """ SELECT sha256('record/' || source || '|' || predicate || '|record/' || target) AS assertion_id, source, predicate, target, status, rule, n.score AS confidence, true AS discovery_only, a.seen AS source_retrieved_at, a.basis AS source_basis, a.url AS source_url,
+    a.license_id AS source_license_id, b.seen AS target_retrieved_at, b.basis AS target_basis, b.url AS target_url, b.license_id AS target_license_id FROM n JOIN k USING (kind) JOIN w a ON a.id = n.source JOIN w b ON b.id = n.target"""
+)
+def compiled_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assertions with the evidence and rights of both endpoints."""
+    rows = relate.compiled(scored_edges(spark, sf_dir), evidenced(spark, sf_dir), GENERATED)
+    return rows.drop("source_locator", "target_locator", "source_value", "target_value")
+
+
+@query(EDGES_SQL + " SELECT source, target, 'unregistered' AS fault FROM n WHERE target NOT IN (SELECT id FROM r) UNION SELECT source, target, 'score' FROM n WHERE score > 1")
+def relationship_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges that can't be compiled: an endpoint is missing, or the score is out of range."""
+    own = materialize(scored_edges(spark, sf_dir), "edges")
+    lost = relate.unregistered(own, similar_records(spark, sf_dir)).select("source", "target", F.lit("unregistered").alias("fault"))
+    return lost.unionAll(relate.out_of_range(own).select("source", "target", F.lit("score").alias("fault")))
 
 
-IDENTITY_SQL = f"""WITH {sql.records(*LANES)}, i AS (SELECT lower(id) AS key, id, 1 AS priority FROM r UNION SELECT lower(native_id), id, 2 FROM r UNION SELECT lower(title), id, 3 FROM r),
+IDENTITY_SQL = f"""WITH {sql.records()}, i AS (SELECT lower(id) AS key, id, 1 AS priority FROM r UNION SELECT lower(native_id), id, 2 FROM r UNION SELECT lower(title), id, 3 FROM r),
 best AS (SELECT key, min(priority) AS p FROM i GROUP BY key), m AS (SELECT key, priority, count(DISTINCT id) AS matches, min(id) AS first_id FROM i JOIN best USING (key) WHERE priority = p GROUP BY key, priority)"""
 
 
 @query(IDENTITY_SQL + ", w AS (SELECT unnest(['parts:7', 'PARTS:7', '7', 'Supplier#000000003', 'nothing', 'customers:12']) AS wanted) SELECT wanted, CASE WHEN matches IS NULL THEN 'NOT_FOUND' WHEN matches > 1 THEN 'AMBIGUOUS' ELSE 'FOUND' END AS outcome, CASE WHEN matches = 1 THEN first_id END AS id FROM w LEFT JOIN m ON m.key = lower(wanted)")
 def identity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = spark.createDataFrame([(x,) for x in ("parts:7", "PARTS:7", "7", "Supplier#000000003", "nothing", "customers:12")], "wanted string")
-    return lookup(identities(records(spark, sf_dir, *LANES)), wanted)
+    return lookup(identities(records(spark, sf_dir)), wanted)
 
 
 @query(IDENTITY_SQL + " SELECT key, priority, matches, first_id FROM m WHERE matches > 1")
 def identity_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identities(records(spark, sf_dir, *LANES)).where("matches > 1")
+    return identities(records(spark, sf_dir)).where("matches > 1")
 
 
 @query(f"WITH {sql.records('suppliers')}, a AS (SELECT 'alias-' || s_suppkey AS alias, 'suppliers:' || (s_suppkey * 2) AS target FROM supplier) SELECT alias, target, r.id IS NOT NULL AS resolved, r.title FROM a LEFT JOIN r ON r.id = a.target")
@@ -143,7 +191,7 @@ def compare_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DEMO_TERMS = ("idiot", "license", "the", "password")
-DEMO_SQL = f"""WITH {sql.corpus("documents", *LANES)}, n AS (SELECT *, row_number() OVER (PARTITION BY source_surface ORDER BY ordinal) AS nth FROM c),
+DEMO_SQL = f"""WITH {sql.corpus()}, n AS (SELECT *, row_number() OVER (PARTITION BY source_surface ORDER BY ordinal) AS nth FROM c),
 t AS (SELECT n.ordinal, k.term, k.k, row_number() OVER (PARTITION BY source_surface, k.term ORDER BY ordinal) AS nth FROM n JOIN (VALUES {", ".join(f"('{t}', {i})" for i, t in enumerate(DEMO_TERMS))}) AS k(term, k) ON contains(lower(title || ' ' || coalesce(notes, '')), term) WHERE source_surface <> 'suppliers'),
 p AS (SELECT ordinal, 0 AS priority FROM n WHERE source_surface = 'suppliers' UNION ALL SELECT ordinal, 1 FROM n WHERE source_surface <> 'suppliers' AND nth <= 50 UNION ALL SELECT ordinal, 2 + k FROM t WHERE nth <= 30)
 SELECT id, priority FROM (SELECT ordinal, min(priority) AS priority FROM p GROUP BY ordinal) JOIN c USING (ordinal) ORDER BY priority, ordinal LIMIT 1200"""
@@ -152,7 +200,7 @@ SELECT id, priority FROM (SELECT ordinal, min(priority) AS priority FROM p GROUP
 @query(DEMO_SQL)
 def demo_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounded selection: one lane whole, the first fifty of each other, thirty for each term; first reason wins, at most 1,200."""
-    own = corpus(spark, sf_dir, "documents", *LANES)
+    own = corpus(spark, sf_dir)
     text = F.lower(F.concat_ws(" ", "title", F.coalesce("notes", F.lit(""))))
     hits = F.filter(F.array(*(F.struct(F.lit(i).alias("k"), F.lit(t).alias("term")) for i, t in enumerate(DEMO_TERMS))), lambda x: text.contains(x["term"]))
     rows = own.select("id", "ordinal", "source_surface", hits.alias("hits"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions.text import plain_text, public_host, safe_public_url, shard, slug
+from cairn.functions.text import SECRET_KEYS, plain_text, public_host, safe_public_url, shard, slug
 from cairn.operators import index
 from cairn.operators.gaps import evidence_score
 from cairn.plans import sql
@@ -23,19 +23,19 @@ FIELDS_SQL = {
 
 def ranked_sql(where: str) -> str:
     fields = " UNION ALL ".join(f"SELECT id, {index.WEIGHTS[f]} AS w, unnest({sql.tokens(f'coalesce({x}, {chr(39) * 2})')}) AS token FROM r {where}" for f, x in FIELDS_SQL.items())
-    return f"""WITH {sql.records("documents")}, f AS ({fields}),
+    return f"""WITH {sql.records()}, f AS ({fields}),
     s AS (SELECT id, count(DISTINCT token) AS matched, sum(w) AS score FROM f WHERE list_contains({sql.quoted(tuple(TERMS))}, token) GROUP BY id)
     SELECT id, title, CAST(matched AS INTEGER) AS matched, CAST(score AS INTEGER) AS score FROM s JOIN r USING (id) ORDER BY matched DESC, score DESC, lower(title), id LIMIT 10"""
 
 
 @query(ranked_sql(""))
 def search_ranked_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.ranked(records(spark, sf_dir, "documents"), TEXT).select("id", "title", "matched", "score")
+    return index.ranked(records(spark, sf_dir), TEXT).select("id", "title", "matched", "score")
 
 
 @query(ranked_sql("WHERE list_contains(topics, 'fr')"))
 def search_filtered_lane(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = records(spark, sf_dir, "documents").where(F.array_contains("topics", "fr"))
+    own = records(spark, sf_dir).where(F.array_contains("topics", "fr"))
     return index.ranked(own, TEXT).select("id", "title", "matched", "score")
 
 
@@ -44,7 +44,7 @@ def postings_sql(lanes: tuple[str, ...]) -> str:
     return f"WITH {sql.corpus(*lanes)}, f AS ({fields}), p AS (SELECT token, ordinal, CAST(sum(w) AS BIGINT) AS score, bit_or(m) AS mask FROM f GROUP BY token, ordinal)"
 
 
-INDEXED = ("documents", "parts", "suppliers", "customers")
+INDEXED = tuple(sql.LANES)
 
 
 @query(postings_sql(INDEXED) + " SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY token ORDER BY score DESC, ordinal) AS INTEGER) AS rank FROM p) WHERE rank <= 50")
@@ -52,9 +52,14 @@ def search_postings_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.top_postings(index.postings(corpus(spark, sf_dir, *INDEXED)), 50).select("token", "ordinal", "score", "mask", "rank")
 
 
+def unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir, *INDEXED).withColumn("ordinal", F.col("id"))
+
+
 @query(postings_sql(INDEXED) + f" SELECT token, count(*) AS df, {sql.shard('token')} AS shard FROM p GROUP BY token")
 def lexicon_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.lexicon(index.postings(corpus(spark, sf_dir, *INDEXED)))
+    """Counts need no order, so a record's id stands for its ordinal."""
+    return index.lexicon(index.postings(unordered(spark, sf_dir)))
 
 
 @query(
@@ -62,12 +67,12 @@ def lexicon_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY prefix ORDER BY df DESC, token) AS INTEGER) AS rank FROM e) WHERE rank <= 16"""
 )
 def prefix_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.completions(index.lexicon(index.postings(corpus(spark, sf_dir, *INDEXED))))
+    return index.completions(index.lexicon(index.postings(unordered(spark, sf_dir))))
 
 
 @query(postings_sql(INDEXED) + ", l AS (SELECT token, count(*) AS df FROM p GROUP BY token) SELECT count(*) AS tokens, CAST(sum(least(df, 5000)) AS BIGINT) AS postings, CAST(sum(df) AS BIGINT) AS uncapped_postings, CAST(max(df) AS BIGINT) AS largest, (SELECT count(*) FROM c) AS documents FROM l")
 def index_manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = corpus(spark, sf_dir, *INDEXED)
+    own = unordered(spark, sf_dir)
     words = index.lexicon(index.postings(own))
     counts = words.agg(
         F.count(F.lit(1)).alias("tokens"), F.sum(F.least("df", F.lit(index.POSTINGS))).alias("postings"), F.sum("df").alias("uncapped_postings"), F.max("df").alias("largest")
@@ -134,9 +139,9 @@ def plain_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", plain_text(F.col("html")).alias("body"))
 
 
-@query(f"WITH {sql.records('documents', 'parts')} SELECT id, {sql.slug('coalesce(title, chr(32))')} AS slug, {sql.shard('title')} AS shard FROM r")
+@query(f"WITH {sql.records()} SELECT id, {sql.slug('coalesce(title, chr(32))')} AS slug, {sql.shard('title')} AS shard FROM r")
 def slugs_and_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(spark, sf_dir, "documents", "parts").select("id", slug(F.col("title")).alias("slug"), shard(F.col("title")).alias("shard"))
+    return records(spark, sf_dir).select("id", slug(F.col("title")).alias("slug"), shard(F.col("title")).alias("shard"))
 
 
 @query(f"SELECT {sql.HOST} AS host, count(*) AS n FROM pages GROUP BY 1")
@@ -144,17 +149,21 @@ def page_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").groupBy(public_host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n"))
 
 
-URLS_SQL = "SELECT page_id, url FROM pages UNION ALL SELECT -page_id - 1, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'token=abc' FROM pages UNION ALL SELECT -page_id - 1000000, 'ftp' || url FROM pages UNION ALL SELECT -page_id - 2000000, replace(url, '://', '://u:p@') FROM pages"
+#: What is done to a URL to see whether it stays safe: nothing, another scheme, credentials, and each secret key, in small letters and capitals, with and without a value.
+URL_CHANGES = ("", "scheme", "user", *(f"{k}=abc" for k in SECRET_KEYS), *(f"{k.upper()}=" for k in SECRET_KEYS), *SECRET_KEYS, "keys=1", "mytoken=1")
 
 
-@query(f"SELECT page_id, regexp_matches(url, '^https?://[^/@?#]+(?:[/?#]|$)') AND NOT regexp_matches(regexp_replace(url, '#.*$', ''), '[?&](token)=') AS safe FROM ({URLS_SQL})")
+@query(f"""WITH u AS (SELECT page_id, x.change, CASE x.change WHEN '' THEN url WHEN 'scheme' THEN 'ftp' || url WHEN 'user' THEN replace(url, '://', '://u:p@')
+ ELSE split_part(url, '#', 1) || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || x.change END AS url FROM pages, (SELECT unnest({list(URL_CHANGES)}) AS change) x)
+SELECT page_id, change, regexp_matches(url, '^https?://[^/@?#]+(?:[/?#]|$)') AND NOT (change <> '' AND list_contains({list(SECRET_KEYS)}, lower(split_part(change, '=', 1)))) AND NOT regexp_matches(lower(url), '[?&]({"|".join(SECRET_KEYS)})(=|&|#|$)') AS safe FROM u""")
 def safe_public_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages' URLs, and each again with a secret in the query, another scheme, and credentials."""
-    own = table(spark, sf_dir, "pages").select("page_id", "url")
-    secret = own.select((-F.col("page_id") - 1).alias("page_id"), F.concat("url", F.when(F.contains("url", F.lit("?")), "&").otherwise("?"), F.lit("token=abc")).alias("url"))
-    scheme = own.select((-F.col("page_id") - 1000000).alias("page_id"), F.concat(F.lit("ftp"), "url").alias("url"))
-    user = own.select((-F.col("page_id") - 2000000).alias("page_id"), F.replace("url", F.lit("://"), F.lit("://u:p@")).alias("url"))
-    return own.unionAll(secret).unionAll(scheme).unionAll(user).select("page_id", safe_public_url(F.col("url")).alias("safe"))
+    """The pages' URLs, each as it is and changed in every way that makes one unsafe, and in two that don't."""
+    change = F.col("change")
+    own = table(spark, sf_dir, "pages").select("page_id", "url", F.explode(F.array(*map(F.lit, URL_CHANGES))).alias("change"))
+    asked = F.concat(F.split_part("url", F.lit("#"), F.lit(1)), F.when(F.contains("url", F.lit("?")), "&").otherwise("?"), change)
+    user = F.replace("url", F.lit("://"), F.lit("://u:p@"))
+    url = F.when(change == "", F.col("url")).when(change == "scheme", F.concat(F.lit("ftp"), "url")).when(change == "user", user).otherwise(asked)
+    return own.select("page_id", "change", safe_public_url(url).alias("safe"))
 
 
 BROWSER = "thion idiot the"
@@ -167,21 +176,21 @@ def browser_sql() -> str:
     score = " + ".join(f"CASE WHEN contains({low[f]}, '{t}') THEN {w} ELSE 0 END" for f, w in index.BROWSER_WEIGHTS.items() for t in terms)
     score += "".join(f" + CASE WHEN contains({low[f]}, '{BROWSER}') THEN {2 * w} ELSE 0 END" for f, w in index.BROWSER_WEIGHTS.items())
     every = " AND ".join("(" + " OR ".join(f"contains({x}, '{t}')" for x in low.values()) + ")" for t in terms)
-    return f"WITH {sql.records('documents')}, s AS (SELECT id, title, notes, {score} + CASE WHEN {every} THEN {index.BROWSER_ALL} ELSE 0 END AS score FROM r)"
+    return f"WITH {sql.records()}, s AS (SELECT id, title, notes, {score} + CASE WHEN {every} THEN {index.BROWSER_ALL} ELSE 0 END AS score FROM r)"
 
 
 @query(browser_sql() + " SELECT id, title, score FROM s WHERE score > 0 ORDER BY score DESC, title, id LIMIT 30")
 def browser_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = index.browser_scored(records(spark, sf_dir, "documents"), BROWSER).where("score > 0")
+    scored = index.browser_scored(records(spark, sf_dir), BROWSER).where("score > 0")
     return scored.orderBy(F.desc("score"), "title", "id").limit(30).select("id", "title", "score")
 
 
-@query(f"""WITH {sql.corpus('documents', 'parts')}, s AS (SELECT id, title, ordinal, len(coalesce(notes, '')) AS size FROM c)
+@query(f"""WITH {sql.corpus()}, s AS (SELECT id, title, ordinal, len(coalesce(notes, '')) AS size FROM c)
 SELECT * FROM (SELECT 'title' AS menu, CAST(row_number() OVER (ORDER BY title, id) AS INTEGER) AS place, id FROM s UNION ALL SELECT 'size', CAST(row_number() OVER (ORDER BY size DESC, title, id) AS INTEGER), id FROM s
 UNION ALL SELECT 'corpus', CAST(ordinal + 1 AS INTEGER), id FROM s) WHERE place <= 40""")
 def ordered_menu_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first forty records in each of three orders; each order keeps its best rows in every task."""
-    own = records(spark, sf_dir, "documents", "parts").select("id", "title", "source_surface", F.length(F.coalesce("notes", F.lit(""))).alias("size"))
+    own = records(spark, sf_dir).select("id", "title", "source_surface", F.length(F.coalesce("notes", F.lit(""))).alias("size"))
     orders = {"title": [F.col("title"), F.col("id")], "size": [F.desc("size"), F.col("title"), F.col("id")], "corpus": corpus_order()}
     out = None
     for name, order in orders.items():

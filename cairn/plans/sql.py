@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cairn.functions.text import SEARCH_PATTERN, SEARCH_STOP_WORDS, SIMILARITY_PATTERN, SIMILARITY_STOP_WORDS
+from cairn.operators.ledger import LEVELS
 
 
 def quoted(values: tuple[str, ...]) -> str:
@@ -86,6 +87,15 @@ def corpus(*lanes: str) -> str:
     return records(*lanes) + ", c AS (SELECT *, row_number() OVER (ORDER BY source_surface, lower(title), id) - 1 AS ordinal FROM r)"
 
 
+def set_digest(by: str, hashes: str) -> str:
+    """Common tables from ``hashes`` (by, h) to ``digests`` (by, n, digest): digests of sorted digests, by ever shorter prefixes of the hash."""
+    out, last = f"d0 AS (SELECT DISTINCT {by}, h, h AS digest, 1 AS n FROM {hashes})", "d0"
+    for k, digits in enumerate(LEVELS, 1):
+        out += f", d{k} AS (SELECT {by}, left(h, {digits}) AS h, sha256(string_agg(digest, ',' ORDER BY h)) AS digest, CAST(sum(n) AS BIGINT) AS n FROM {last} GROUP BY {by}, left(h, {digits}))"
+        last = f"d{k}"
+    return out + f", digests AS (SELECT {by}, n, digest FROM {last})"
+
+
 def shard(x: str) -> str:
     return f"coalesce(nullif(left(regexp_replace(lower({x}), '[^a-z0-9]', '', 'g'), 2), ''), '_')"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one of our own only where the session names none."""
+    """The session's checkpoint folder; one of our own only where the session names none and driver and executors are one process."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="cairn-checkpoints-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -30,5 +33,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
-    """The table with a broadcast hint if it has ``rows`` rows at most; else as it is, and Spark joins it by a shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """The table, stored once, with a broadcast hint if it has ``rows`` rows at most; beyond that Spark joins it by a shuffle.
+
+    Its size is counted while the plan is made, from the footers of the stored files.
+    """
+    stored = materialize(df, "counted")
+    return F.broadcast(stored) if stored.count() <= rows else stored

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cairn.functions.text import shard
+from cairn.operators import index
+from cairn.operators.validate import violations
+from cairn.scratch import materialize
+
 MANIFEST = "slug string, topic string, subTopic string, dataset string, code string, include string"
 
 
@@ -15,6 +20,12 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("include", flag)
 
 
+def manifest_violations(rows: DataFrame) -> DataFrame:
+    """(slug, rule): rows to include that lack what they then need."""
+    needed = {name: ~F.col("include") | F.col(name).isNotNull() for name in ("slug", "topic", "dataset", "code")}
+    return violations(rows, "slug", needed)
+
+
 def read_events(spark: SparkSession, path: str, schema: str = "seq bigint, event string, tool string") -> DataFrame:
     """A JSON-lines log, with its file's name."""
     return spark.read.schema(schema).json(path).withColumn("file", F.input_file_name())
@@ -50,10 +61,33 @@ def write_chunks(rows: DataFrame, path: str, ordinal: str = "ordinal", size: int
     own.repartition("chunk").sortWithinPartitions("chunk", ordinal).write.partitionBy("chunk").json(path)
 
 
+def write_search_index(corpus: DataFrame, path: str) -> None:
+    """A whole index below a folder: capped postings and the lexicon by shard, completions of prefixes, and the document map.
+
+    The postings are made once and stored; everything else is read from there.
+    """
+    every = materialize(index.postings(corpus), "postings")
+    words = materialize(index.lexicon(every), "lexicon")
+    write_index(index.top_postings(every), f"{path}/postings", shard(F.col("token")))
+    words.repartition("shard").sortWithinPartitions("shard", "token").write.partitionBy("shard").parquet(f"{path}/lexicon")
+    index.completions(words).write.parquet(f"{path}/prefixes")
+    corpus.select("ordinal", "id", "title", "source_surface").write.parquet(f"{path}/documents")
+
+
+def lookup(spark: SparkSession, path: str, terms: list[str], limit: int) -> DataFrame:
+    """The best records for a query from a stored index: only the shards of its terms are read. A token has a bounded number of postings, so few rows meet."""
+    wanted = spark.createDataFrame([(t,) for t in terms], "token string").select("token", shard(F.col("token")).alias("shard"))
+    shards = sorted({r["shard"] for r in wanted.collect()})
+    found = spark.read.parquet(f"{path}/postings").where(F.col("shard").isin(shards) & F.col("token").isin(terms))
+    best = found.groupBy("ordinal").agg(F.count(F.lit(1)).alias("matched"), F.sum("score").alias("score")).orderBy(F.desc("matched"), F.desc("score"), "ordinal").limit(limit)
+    documents = spark.read.parquet(f"{path}/documents")
+    return documents.join(F.broadcast(best), "ordinal").orderBy(F.desc("matched"), F.desc("score"), "ordinal").select("id", "title", "matched", "score")
+
+
 def write_index(postings: DataFrame, path: str, shard: Column) -> None:
     """Postings in folders by shard of their token, so that a reader prunes to the shards that it needs."""
     own = postings.withColumn("shard", shard)
-    own.repartition("shard", F.pmod(F.xxhash64("token"), F.lit(8))).sortWithinPartitions("shard", "token").write.partitionBy("shard").parquet(path)
+    own.repartition("shard").sortWithinPartitions("shard", "token").write.partitionBy("shard").parquet(path)
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions.text import safe_public_url
-from cairn.functions.values import epoch_timestamp, text_list
+from cairn.functions.values import bbox_extent, epoch_timestamp, text_list
 
-PROJECTION = ("page", "id", "title", "description", "modified", "licence", "url", "keywords", "dimensions")
+PROJECTION = ("page", "id", "title", "description", "modified", "licence", "url", "keywords", "dimensions", "extent")
+EXTENT = "struct<west:double,south:double,east:double,north:double>"
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -35,7 +36,7 @@ def text_at(value: Column, *paths: str) -> Column:
 
 
 def projected(rows: DataFrame, **columns: Column) -> DataFrame:
-    empty = {"dimensions": F.array().cast("array<string>"), "keywords": F.array().cast("array<string>")}
+    empty = {"dimensions": F.array().cast("array<string>"), "keywords": F.array().cast("array<string>"), "extent": F.lit(None).cast(EXTENT)}
     out = rows.select(*(columns.get(c, empty.get(c, F.lit(None).cast("string"))).alias(c) for c in PROJECTION))
     out = out.withColumn("url", F.when(safe_public_url(F.col("url")), F.col("url")))
     return out.where("id IS NOT NULL AND title IS NOT NULL")
@@ -77,12 +78,14 @@ def key_families(pages: DataFrame) -> DataFrame:
 
 
 def features(pages: DataFrame) -> DataFrame:
-    """Features of GeoJSON pages, without their geometry; times are epoch milliseconds."""
+    """Features of GeoJSON pages, without their geometry; times are epoch milliseconds, an extent is two corners on the globe."""
     v = F.col("v")
+    corners = F.try_variant_get(v, "$.properties.extent", "array<array<double>>")
+    extent = bbox_extent(F.transform(corners, lambda c: F.struct(F.get(c, 0).alias("x"), F.get(c, 1).alias("y"))))
     modified = F.date_format(epoch_timestamp(F.try_variant_get(v, "$.properties.modified", "bigint")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return projected(
         items(pages, "$.features"), page=F.col("page"), id=text_at(v, "$.id"), title=text_at(v, "$.properties.title"), description=text_at(v, "$.properties.description"), modified=modified,
-        licence=text_at(v, "$.properties.licenseInfo"), url=text_at(v, "$.properties.url"), keywords=texts(v, "$.properties.tags"),
+        licence=text_at(v, "$.properties.licenseInfo"), url=text_at(v, "$.properties.url"), keywords=texts(v, "$.properties.tags"), extent=extent,
     )
 
 

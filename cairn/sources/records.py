@@ -120,5 +120,7 @@ def corpus_order() -> list[Column]:
 
 
 def corpus(spark: SparkSession, sf_dir: str, *lanes: str) -> DataFrame:
-    """All records once, with their place in the corpus as ``ordinal``."""
-    return with_ordinal(records(spark, sf_dir, *lanes), *corpus_order())
+    """All records once, with their place in the corpus as ``ordinal``. Only ids and what orders them are numbered, never whole texts."""
+    own = records(spark, sf_dir, *lanes)
+    places = with_ordinal(own.select("source_surface", F.left("title", F.lit(1000)).alias("title"), "id"), *corpus_order()).select("id", "ordinal")
+    return own.join(broadcast_if(places, 200_000), "id")

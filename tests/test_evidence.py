@@ -26,7 +26,8 @@ def build():
         (e.markdown_links(T("[Quality report](https://q/x) [Other](https://o/y)"), e.QUALITY_LINK), ["https://q/x"]),
         (e.informative(F.array(T("/Categories/Latest/"), T("/Categories/Wards"))), ["/Categories/Wards"]), (e.subtopics(F.array(T("/Categories/Wards"))), ["Wards"]),
         (e.utc_expiry(T("2026-01-01T02:00:00+02:00")), "2026-01-01T00:00:00Z"), (e.utc_expiry(T("2026-01-01")), None),
-        (F.to_json(e.period_extent(F.array(T("2001"), T("1999")))), '{"start":"1999","end":"2001"}'), (F.to_json(e.period_extent(F.array(T("2001"), T("2001-02")))), None),
+        (F.to_json(e.period_extent(F.array(T("2001"), T("1999")), T("2020-06"))), '{"start":"1999","end":"2001"}'), (F.to_json(e.period_extent(F.array(T("2001"), T("2001-02")), T("2020-06"))), None), (F.to_json(e.period_extent(F.array(T("2020-07")), T("2020-06"))), None),
+        (e.revision_note(T("One. The file was revised in May. Two.")), "The file was revised in May."), (e.revision_note(T("Figures are provisional.")), None),
         (plain_text(T("<p>a&amp;b &#233;&#x20AC; &nope; <script>x<1</script>c</p>")), "a&b é€ &nope; c"), (bounded(T("abcdef"), 4), "abc…"),
         (slug(T("  Crème & <b>Brûlée</b>!")), "cr-me-br-l-e"), (slug(T("!!")), "record"),
         (public_host(T("HTTPS://Example.COM:80/x")), "example.com"), (public_host(T("https://u:p@h/")), None), (safe_public_url(T("https://h/?a=1&token=2")), False), (safe_public_url(T("ftp://h/")), False),
