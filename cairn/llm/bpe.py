@@ -6,7 +6,9 @@ tokens' text, in order of merge rank, have left exactly these two?), falls back
 a token, and steps back where none fits. Each position is given up at most once, so the work is linear in the word,
 and the result is that of applying the merges in order. Tokens are never trained here: the file's path is a parameter.
 
-Null texts encode to nothing, as empty ones do. Repeated rows get equal results.
+Null texts encode to nothing, as empty ones do. Repeated rows get equal results, empty tables empty ones. Very long texts are
+encoded whole. Columns of the input that are called like the results give way; others may have any name. The tokenizer's file is read by the driver and
+sent to the tasks, which need no such file.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
+from pathlib import Path
 
 import ahocorasick
 import numpy as np
@@ -75,9 +78,8 @@ class Bpe:
 
     CACHED = 120_000
 
-    def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, file: str | bytes) -> None:
+        spec = json.loads(file if isinstance(file, bytes) else Path(file).read_bytes())
         model = spec["model"]
         kinds = [x["type"] for x in spec["normalizer"]["normalizers"]], [x["type"] for x in spec["pre_tokenizer"]["pretokenizers"]]
         if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) or spec["decoder"] or model["end_of_word_suffix"] != "</w>":
@@ -236,8 +238,13 @@ class Bpe:
 
 
 @cache
-def loaded(path: str) -> Bpe:
-    return Bpe(path)
+def loaded(content: bytes) -> Bpe:
+    return Bpe(content)
+
+
+def shared(spark: SparkSession, path: str | None):  # noqa: ANN201
+    """The tokenizer's file, of a few megabytes whatever the corpus, as a broadcast."""
+    return spark.sparkContext.broadcast(Path(path or default_path()).read_bytes())
 
 
 def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
@@ -245,11 +252,11 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids
 
     Columns of the input with the same names give way.
     """
-    path = path or default_path()
+    file = shared(docs.sparkSession, path)
     own = docs.select(*(docs[c] for c in docs.columns if c not in (ids, decoded)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
+        bpe = loaded(file.value)
         for part, texts in rows_of(batches, text_col, 64):
             got = [bpe.encode(t) for t in texts]
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in got])]), pa.int32())
@@ -264,11 +271,11 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids
 
 def decode(tokens: DataFrame, path: str | None = None, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
     """The rows with the text that their token ids decode to; null ids decode to an empty text."""
-    path = path or default_path()
+    file = shared(tokens.sparkSession, path)
     own = tokens.select(*(tokens[c] for c in tokens.columns if c != decoded))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
+        bpe = loaded(file.value)
         for part, lists in rows_of(batches, ids, 64):
             yield part.append_column(decoded, pa.array([bpe.decode(np.array(x or [], np.int64)).decode("utf-8") for x in lists], pa.string()))
 
