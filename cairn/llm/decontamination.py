@@ -11,7 +11,9 @@ are read, and only those travel to the task that handles their segment. Test ite
 bounded number of words.
 
 Null texts have no words: such documents are clean, and such items match nothing. An item without an id is
-skipped. Rows that repeat an item's id count as one item. Every document row has a row in the result.
+skipped. Rows that repeat an item's id count as one item. Every document row has a row in the result, repeated rows equal ones.
+A very long text fills a segment of its own. Empty tables give empty results, and without items all documents are clean. Further
+columns may have any name.
 """
 
 from __future__ import annotations

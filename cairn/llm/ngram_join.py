@@ -13,7 +13,8 @@ Comparisons return, for each text, its number of links and the root of its group
 
 Equal texts are copies and enter once. Null texts are classes of their own; texts without words have no
 links, and equal ones are copies. A text of fewer than five words is one shingle. Order and repetition of rows
-don't matter; the class id is the least id of the class.
+don't matter; the class id is the least id of the class. Very long texts are sets like others, of as many shingles. An empty table gives an
+empty result, and further columns may have any name.
 """
 
 from __future__ import annotations

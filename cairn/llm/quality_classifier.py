@@ -5,7 +5,8 @@ of features whose cells still explain most of the gradient get tables of their o
 sum of table entries, so scoring is binning and addition over whole columns.
 
 Features come from the text alone. Null texts count as empty; empty texts get a score like all others.
-Repeated rows get equal scores. Without labelled rows every score is 0.5.
+Repeated rows get equal scores. Without labelled rows every score is 0.5. A score that equals the threshold is kept. Values that equal a cut
+point fall into the bin above it. Very long texts are measured whole. An empty table gives an empty result, and further columns may have any name.
 """
 
 from __future__ import annotations
