@@ -91,3 +91,96 @@ def failures(rows: DataFrame, codes: Column, issues: DataFrame) -> DataFrame:
     counts = rows.select(F.explode(codes).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     named = issues.groupBy("code").agg(F.array_join(F.array_sort(F.collect_set("issue")), ",").alias("issues"))
     return counts.join(broadcast_if(named, 20_000), "code", "left")
+
+
+#: Components that must be whole for a selection to count as safe and exact.
+STRICT = (
+    "target_record", "native_id", "source_surface", "edition", "version", "hydration", "caveat_fidelity", "substitution_integrity", "assessment_present", "unsupported_claim_safety",
+)
+#: Components that ask whether the answer's value is one of those expected: (field of the answer, field of the expectation).
+MEMBERS = {
+    "target_record": ("chosen_record_id", "acceptable_record_ids"), "native_id": ("chosen_native_id", "acceptable_native_ids"), "source_surface": ("chosen_source_surface", "acceptable_source_surfaces"),
+    "edition": ("chosen_edition", "acceptable_editions"), "version": ("chosen_version", "acceptable_versions"), "hydration": ("hydration_status", "allowed_hydration_statuses"),
+}
+#: Components that ask how many of what is expected was given.
+COVERED = {
+    "alternative_exposure": ("alternative_ids", "required_alternative_ids"), "contrast_coverage": ("contrast_fields", "required_contrast_fields"),
+    "caveat_fidelity": ("caveat_ids", "required_caveat_ids"), "evidence_coverage": ("evidence_kinds", "required_evidence_kinds"),
+}
+
+
+def eligibility(runs: DataFrame) -> DataFrame:
+    """Runs with the reason that keeps each from counting: at all, for validation, and for comparison; null where none does."""
+    some = lambda c: F.size(c) > 0
+    profile, enforced = F.col("fault_profile").isNotNull(), F.col("constraint_enforcement")
+    reason = (
+        F.when(some("access_violations"), "arm-violation").when(some("constraint_violations"), "constraint-violation").when(profile & ~enforced.isin("enforced", "observed"), "constraints-not-evidenced")
+        .when(F.col("status").isin("blocked", "not-run"), F.concat(F.lit("readiness-"), "status"))
+    )
+    out = runs.withColumn("exclusion_reason", reason)
+    validation = F.coalesce("exclusion_reason", F.when(F.col("arm_enforcement") != "enforced", "arm-not-enforced").when(profile & (enforced != "enforced"), "constraints-not-enforced"))
+    out = out.withColumn("validation_exclusion_reason", validation)
+    return out.withColumn("comparative_exclusion_reason", F.coalesce("validation_exclusion_reason", F.when(F.col("capture_fidelity") == "fixture-replay", "fixture-replay")))
+
+
+def membership(actual: Column, expected: Column) -> Column:
+    """1 or 0; null, not applicable, where nothing is expected."""
+    return F.when(F.size(expected) > 0, F.coalesce(F.array_contains(expected, actual), F.lit(False)).cast("double"))
+
+
+def covered(actual: Column, expected: Column) -> Column:
+    """Share of what is expected, to six digits; null where nothing is."""
+    wanted = F.array_distinct(expected)
+    return F.when(F.size(expected) > 0, F.round(F.size(F.array_intersect(wanted, actual)) / F.size(wanted), 6))
+
+
+def mcp_plan() -> Column:
+    """1 if a plan is asked for and is the one expected: its identity, exactly its arguments, no credentials, enough unknown dimensions, not run, and evidence of that."""
+    plan, wanted = F.col("plan"), F.col("expected_plan")
+    same = lambda *names: reduce(lambda a, b: a & b, (F.coalesce(plan[n] == wanted[n], F.lit(False)) for n in names))
+    entries = lambda m: F.array_sort(F.map_entries(m))
+    secret = F.size(F.array_intersect(F.transform(F.map_keys(plan["arguments"]), lambda k: F.lower(k)), F.array(*map(F.lit, ("api_key", "apikey", "authorization", "password", "token"))))) > 0
+    unknown = (F.size(plan["unknown_dimensions"]) >= wanted["minimum_unknown_dimensions"]) & F.forall(plan["unknown_dimensions"], lambda d: F.coalesce(F.trim(d) != "", F.lit(False)))
+    passed = same("source", "record_id", "inspection_tool", "query_tool", "complete", "executed") & (entries(plan["arguments"]) == entries(wanted["arguments"])) & ~secret & unknown & (plan["query_tool_calls"] == 0)
+    return F.when(F.col("mcp_plan_required"), F.coalesce(passed, F.lit(False)).cast("double"))
+
+
+def score_runs(runs: DataFrame, expected: DataFrame) -> DataFrame:
+    """Each run with its eligibility, ``components`` (name to score, those that don't apply left out), whether the selection was safe and exact (null where none is asked for), and whether all components pass.
+
+    Runs without an answer or an assessment score 0 on what applies to them. ``expected`` has a row for each task; runs of unknown tasks are left out.
+    """
+    both = eligibility(runs).join(broadcast_if(expected, 20_000), "task_id")
+    answered, assessed = F.col("answer").isNotNull(), F.col("assessment").isNotNull()
+    none = F.array().cast("array<string>")
+    scores = {"structured_output": answered.cast("double"), "assessment_present": assessed.cast("double")}
+    scores |= {name: membership(F.col(f"answer.{a}"), F.col(e)) for name, (a, e) in MEMBERS.items()}
+    given = {"alternative_ids": "answer", "contrast_fields": "answer", "caveat_ids": "assessment", "evidence_kinds": "assessment"}
+    scores |= {name: covered(F.coalesce(F.col(f"{given[a]}.{a}"), none), F.col(e)) for name, (a, e) in COVERED.items()}
+    scores["mcp_plan"] = mcp_plan()
+    used, disclosed, policy = (F.coalesce("answer.substitution_used", F.lit(False)), F.coalesce("answer.substitution_disclosed", F.lit(False)), F.col("substitution_policy"))
+    scores["substitution_integrity"] = F.when(policy == "forbidden", (~used).cast("double")).when(policy == "disclose-or-abstain", (~used | disclosed).cast("double"))
+    scores["unsupported_claim_safety"] = (assessed & (F.coalesce("assessment.critical_claims", F.lit(0)) == 0)).cast("double")
+    components = F.map_filter(F.create_map(*(x for k, v in scores.items() for x in (F.lit(k), v))), lambda _, v: v.isNotNull())
+    out = both.withColumn("components", components)
+    whole = F.forall(F.map_values("components"), lambda x: x == 1)
+    strict = F.forall(F.map_values(F.map_filter("components", lambda k, _: k.isin(*STRICT))), lambda x: x == 1)
+    eligible = F.col("exclusion_reason").isNull()
+    return out.withColumns({"safe_exact_selection": F.when(F.size("acceptable_record_ids") > 0, (eligible & strict).cast("double")), "all_pass": eligible & whole})
+
+
+def aggregated(scores: DataFrame, reason: str, *by: str) -> DataFrame:
+    """(…, component, mean, denominator) over runs that no ``reason`` keeps out; the safe and exact selection counts as a component."""
+    every = F.map_concat("components", F.map_filter(F.create_map(F.lit("safe_exact_selection"), "safe_exact_selection"), lambda _, v: v.isNotNull()))
+    rows = scores.where(F.col(reason).isNull()).select(*by, F.explode(every).alias("component", "score"))
+    return rows.groupBy(*by, "component").agg(mean_or_null(F.col("score")).alias("mean"), F.count("score").alias("denominator"))
+
+
+def coverage(required: DataFrame, shown: DataFrame) -> DataFrame:
+    """(query_id, required, present, share): fields that queries ask for and that results show. required: (query_id, id, field); shown: (query_id, id, field) with a value.
+
+    Queries that ask for nothing have no row; a share of nothing would be one.
+    """
+    both = required.join(shown.distinct().withColumn("there", F.lit(True)), ["query_id", "id", "field"], "left")
+    out = both.groupBy("query_id").agg(F.count(F.lit(1)).alias("required"), F.count("there").alias("present"))
+    return out.withColumn("share", ratio(F.col("present"), F.col("required")))

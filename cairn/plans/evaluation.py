@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions.text import search_tokens
+from cairn.functions.values import has_value
 from cairn.operators import evaluation as ev
 from cairn.operators.index import WEIGHTS
 from cairn.plans import sql
@@ -136,3 +137,133 @@ def failure_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = F.array(F.concat(F.lit("F"), (F.col("k") % 4).cast("string")), F.concat(F.lit("F"), (F.col("run_id") % 3).cast("string")))
     return ev.failures(runs(spark, sf_dir).where("arm = 'error'"), codes, issues)
 
+
+
+#: Expectations of eleven tasks and, of each run, what is made of its number. Both engines take these expressions.
+N = "event_id"
+ARRAYS = {
+    "acceptable_record_ids": "CASE WHEN task_id = 3 THEN '' ELSE concat('r', CAST(task_id AS STRING), ',r', CAST(task_id + 1 AS STRING)) END", "acceptable_native_ids": "concat('n', CAST(task_id AS STRING))",
+    "acceptable_source_surfaces": "CASE WHEN task_id % 2 = 0 THEN 'a,b' ELSE 'a' END", "acceptable_editions": "CASE WHEN task_id % 3 = 0 THEN '' ELSE 'e1' END", "acceptable_versions": "''", "allowed_hydration_statuses": "'whole,partial'",
+    "required_alternative_ids": "CASE WHEN task_id % 4 = 0 THEN '' ELSE 'x1,x2,x3' END", "required_contrast_fields": "'unit,measure'", "required_caveat_ids": "CASE WHEN task_id % 5 = 0 THEN 'c1,c2' ELSE '' END", "required_evidence_kinds": "'k1'",
+}
+POLICY = "CASE task_id % 3 WHEN 0 THEN 'not-applicable' WHEN 1 THEN 'forbidden' ELSE 'disclose-or-abstain' END"
+ANSWER = {
+    "chosen_record_id": f"concat('r', CAST({N} % 11 + {N} % 3 AS STRING))", "chosen_native_id": f"CASE WHEN {N} % 4 = 0 THEN NULL ELSE concat('n', CAST({N} % 11 AS STRING)) END", "chosen_source_surface": f"CASE WHEN {N} % 5 = 0 THEN 'b' ELSE 'a' END",
+    "chosen_edition": f"concat('e', CAST({N} % 2 AS STRING))", "chosen_version": "'v'", "hydration_status": f"CASE WHEN {N} % 7 = 0 THEN 'none' ELSE 'whole' END",
+}
+GIVEN = {"alternative_ids": f"CASE {N} % 3 WHEN 0 THEN 'x1,x2,x3' WHEN 1 THEN 'x2,y' ELSE '' END", "contrast_fields": f"CASE WHEN {N} % 2 = 0 THEN 'unit,measure' ELSE 'unit' END"}
+ASSESSED = {"caveat_ids": f"CASE WHEN {N} % 2 = 0 THEN 'c2,c1' ELSE 'c1' END", "evidence_kinds": f"CASE WHEN {N} % 6 = 0 THEN '' ELSE 'k1,k2' END"}
+HAS_ANSWER, HAS_ASSESSMENT = f"{N} % 13 <> 0", f"{N} % 17 <> 0"
+USED, DISCLOSED, CLAIMS = f"{N} % 3 = 1", f"{N} % 2 = 0", f"CASE WHEN {N} % 9 = 0 THEN 1 ELSE 0 END"
+RUN = {
+    "status": f"CASE {N} % 19 WHEN 0 THEN 'blocked' WHEN 1 THEN 'not-run' WHEN 2 THEN 'failed' ELSE 'completed' END", "fault_profile": f"CASE WHEN {N} % 5 = 0 THEN 'slow' END",
+    "constraint_enforcement": f"CASE {N} % 4 WHEN 0 THEN 'enforced' WHEN 1 THEN 'observed' ELSE 'declared' END", "arm_enforcement": f"CASE WHEN {N} % 8 = 0 THEN 'declared' ELSE 'enforced' END", "capture_fidelity": f"CASE WHEN {N} % 6 = 0 THEN 'fixture-replay' ELSE 'native' END",
+}
+ACCESS, CONSTRAINTS = f"CASE WHEN {N} % 23 = 0 THEN 'v' ELSE '' END", f"CASE WHEN {N} % 29 = 0 THEN 'w' ELSE '' END"
+PLAN_DEFECT = f"{N} % 12"
+
+
+def parted(expression: str) -> Column:
+    return F.filter(F.split(F.expr(expression), ","), lambda x: x != "")
+
+
+def expectations(spark: SparkSession) -> DataFrame:
+    own = spark.range(11).select(F.col("id").alias("task_id"))
+    plan = F.struct(
+        F.lit("s").alias("source"), F.concat(F.lit("r"), F.col("task_id").cast("string")).alias("record_id"), F.lit("i").alias("inspection_tool"), F.lit("q").alias("query_tool"), F.lit(False).alias("complete"), F.lit(False).alias("executed"),
+        F.create_map(F.lit("dataset"), F.lit("d"), F.lit("format"), F.lit("f")).alias("arguments"), F.lit(1).alias("minimum_unknown_dimensions"),
+    )
+    return own.select("task_id", *(parted(v).alias(k) for k, v in ARRAYS.items()), F.expr(POLICY).alias("substitution_policy"), (F.col("task_id") % 2 == 1).alias("mcp_plan_required"), plan.alias("expected_plan"))
+
+
+def harness_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as runs of eleven tasks, with answers, assessments, plans and defects by their number."""
+    answer = F.struct(*(F.expr(v).alias(k) for k, v in ANSWER.items()), *(parted(v).alias(k) for k, v in GIVEN.items()), F.expr(USED).alias("substitution_used"), F.expr(DISCLOSED).alias("substitution_disclosed"))
+    assessment = F.struct(*(parted(v).alias(k) for k, v in ASSESSED.items()), F.expr(CLAIMS).alias("critical_claims"))
+    is_ = lambda n: F.expr(PLAN_DEFECT) == n
+    arguments = F.create_map(F.lit("dataset"), F.when(is_(2), "other").otherwise("d"), F.lit("format"), F.lit("f"))
+    plan = F.struct(
+        F.when(is_(1), "t").otherwise("s").alias("source"), F.concat(F.lit("r"), (F.col(N) % 11).cast("string")).alias("record_id"), F.lit("i").alias("inspection_tool"), F.lit("q").alias("query_tool"), is_(3).alias("complete"), is_(4).alias("executed"),
+        F.when(is_(5), F.map_concat(arguments, F.create_map(F.lit("API_Key"), F.lit("k")))).otherwise(arguments).alias("arguments"),
+        F.when(is_(6), F.array().cast("array<string>")).when(is_(7), F.array(F.lit(" "))).otherwise(F.array(F.lit("time"))).alias("unknown_dimensions"), is_(8).cast("int").alias("query_tool_calls"),
+    )
+    return table(spark, sf_dir, "events").select(
+        F.col(N).alias("run_id"), (F.col(N) % 11).alias("task_id"), F.col("event_type").alias("arm"), *(F.expr(v).alias(k) for k, v in RUN.items()), parted(ACCESS).alias("access_violations"), parted(CONSTRAINTS).alias("constraint_violations"),
+        F.when(F.expr(HAS_ANSWER), answer).alias("answer"), F.when(F.expr(HAS_ASSESSMENT), assessment).alias("assessment"), F.when(F.expr(HAS_ANSWER) & ~is_(9), plan).alias("plan"),
+    )
+
+
+def member_sql(actual: str, expected: str) -> str:
+    return f"CASE WHEN {expected} <> '' THEN CAST(coalesce(list_contains(string_split({expected}, ','), CASE WHEN {HAS_ANSWER} THEN {actual} END), false) AS DOUBLE) END"
+
+
+def covered_sql(actual: str, expected: str, there: str) -> str:
+    return f"CASE WHEN {expected} <> '' THEN round(len(list_intersect(string_split({expected}, ','), CASE WHEN {there} THEN string_split({actual}, ',') ELSE [] END)) / len(string_split({expected}, ',')), 6) END"
+
+
+COMPONENTS_SQL = {
+    "structured_output": f"CAST({HAS_ANSWER} AS DOUBLE)", "assessment_present": f"CAST({HAS_ASSESSMENT} AS DOUBLE)", **{k: member_sql(ANSWER[a], f"({ARRAYS[e]})") for k, (a, e) in ev.MEMBERS.items()},
+    **{k: covered_sql((GIVEN | ASSESSED)[a], f"({ARRAYS[e]})", HAS_ANSWER if a in GIVEN else HAS_ASSESSMENT) for k, (a, e) in ev.COVERED.items()},
+    "mcp_plan": f"CASE WHEN task_id % 2 = 1 THEN CAST({HAS_ANSWER} AND {PLAN_DEFECT} IN (0, 10, 11) AS DOUBLE) END",
+    "substitution_integrity": f"CASE task_id % 3 WHEN 1 THEN CAST(NOT ({HAS_ANSWER} AND {USED}) AS DOUBLE) WHEN 2 THEN CAST(NOT ({HAS_ANSWER} AND {USED}) OR ({DISCLOSED}) AS DOUBLE) END",
+    "unsupported_claim_safety": f"CAST({HAS_ASSESSMENT} AND ({CLAIMS}) = 0 AS DOUBLE)",
+}
+REASON_SQL = f"CASE WHEN ({ACCESS}) <> '' THEN 'arm-violation' WHEN ({CONSTRAINTS}) <> '' THEN 'constraint-violation' WHEN ({RUN['fault_profile']}) IS NOT NULL AND ({RUN['constraint_enforcement']}) = 'declared' THEN 'constraints-not-evidenced' WHEN ({RUN['status']}) IN ('blocked', 'not-run') THEN 'readiness-' || ({RUN['status']}) END"
+SCORED_SQL = (
+    f"WITH e AS (SELECT event_id, event_type AS arm, event_id % 11 AS task_id FROM events), c AS (SELECT event_id, arm, task_id, {', '.join(f'{v} AS {k}' for k, v in COMPONENTS_SQL.items())}, {REASON_SQL} AS reason FROM e),"
+    f" v AS (SELECT *, coalesce(reason, CASE WHEN ({RUN['arm_enforcement']}) <> 'enforced' THEN 'arm-not-enforced' WHEN ({RUN['fault_profile']}) IS NOT NULL AND ({RUN['constraint_enforcement']}) <> 'enforced' THEN 'constraints-not-enforced' END) AS validation FROM c),"
+    f" w AS (SELECT *, coalesce(validation, CASE WHEN ({RUN['capture_fidelity']}) = 'fixture-replay' THEN 'fixture-replay' END) AS comparative, CASE WHEN task_id <> 3 THEN CAST(reason IS NULL AND {' AND '.join(f'coalesce({k}, 1) = 1' for k in ev.STRICT)} AS DOUBLE) END AS safe_exact_selection FROM v)"
+)
+
+
+@query(SCORED_SQL + f" SELECT event_id AS run_id, reason AS exclusion_reason, validation AS validation_exclusion_reason, comparative AS comparative_exclusion_reason, safe_exact_selection, reason IS NULL AND {' AND '.join(f'coalesce({k}, 1) = 1' for k in COMPONENTS_SQL)} AS all_pass, {', '.join(COMPONENTS_SQL)} FROM w")
+def run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fifteen components of each run, its three levels of eligibility and the strict selection."""
+    scored = ev.score_runs(harness_runs(spark, sf_dir), expectations(spark))
+    reasons = [f"{x}exclusion_reason" for x in ("", "validation_", "comparative_")]
+    return scored.select("run_id", *reasons, "safe_exact_selection", "all_pass", *(F.try_element_at("components", F.lit(k)).alias(k) for k in COMPONENTS_SQL))
+
+
+@query(
+    SCORED_SQL + " SELECT arm, component, round(avg(score), 6) AS mean, count(score) AS denominator FROM (" + " UNION ALL ".join(f"SELECT arm, '{k}' AS component, {k} AS score FROM w WHERE comparative IS NULL AND {k} IS NOT NULL" for k in (*COMPONENTS_SQL, "safe_exact_selection")) + ") GROUP BY arm, component"
+)
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of the components over runs fit for comparison, by arm."""
+    return ev.aggregated(ev.score_runs(harness_runs(spark, sf_dir), expectations(spark)), "comparative_exclusion_reason", "arm")
+
+
+#: Fields that a query's alternatives are to be told apart by, and that its best document is to give evidence of.
+CONTRAST, EVIDENCE = ("publisher_title", "state", "license_id"), ("notes", "state", "url")
+
+
+def filled(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> DataFrame:
+    """(id, field) of documents' fields with a value."""
+    own = records(spark, sf_dir, "documents")
+    return own.select("id", F.explode(F.filter(F.array(*(F.when(has_value(F.col(n), own.schema[n].dataType), F.lit(n)) for n in names)), F.isnotnull)).alias("field"))
+
+
+def coverage_sql(names: tuple[str, ...], which: str) -> str:
+    there = " OR ".join(f"(x.field = '{n}' AND coalesce(trim(r.{n}) <> '', false))" for n in names)
+    values = ", ".join(f"('{n}')" for n in names)
+    return f"""SELECT query_id, count(*) AS required, count(*) FILTER (rank <= 5 AND ({there})) AS present, round(count(*) FILTER (rank <= 5 AND ({there})) / count(*), 6) AS share
+    FROM j JOIN r USING (id), (VALUES {values}) AS x(field) WHERE ideal {which} 1 GROUP BY query_id"""
+
+
+def fields_of(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    return rows.select("query_id", "id", F.explode(F.array(*map(F.lit, names))).alias("field"))
+
+
+@query(IR_SQL + " " + coverage_sql(CONTRAST, ">"))
+def contrast_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that tell alternatives apart, as far as the alternatives are exposed and have a value."""
+    wanted = qrels(spark, sf_dir).where("alternative").select("query_id", "id")
+    shown = ranks(spark, sf_dir).where(F.col("rank") <= ev.EXPOSED_BY).join(filled(spark, sf_dir, CONTRAST), "id").select("query_id", "id", "field")
+    return ev.coverage(fields_of(wanted, CONTRAST), shown)
+
+
+@query(IR_SQL + " " + coverage_sql(EVIDENCE, "="))
+def evidence_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence that the best document of each query gives, if it is exposed."""
+    wanted = qrels(spark, sf_dir).where("target").select("query_id", "id")
+    shown = ranks(spark, sf_dir).where(F.col("rank") <= ev.EXPOSED_BY).join(filled(spark, sf_dir, EVIDENCE), "id").select("query_id", "id", "field")
+    return ev.coverage(fields_of(wanted, EVIDENCE), shown)
