@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,6 +113,13 @@ def facet_values(corpus: DataFrame, score: Column) -> DataFrame:
     return rows.select("ordinal", F.col("f.facet").alias("facet"), F.explode(values).alias("value"))
 
 
+def conjunction(values: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
+    """Ordinals of records that have, for each facet asked for, one of its wanted values. Few rows of each record meet: its matching values."""
+    asked = [(F.col("facet") == f) & F.col("value").isin(*v) for f, v in wanted.items()]
+    hits = values.where(reduce(or_, asked)).groupBy("ordinal").agg(F.countDistinct("facet").alias("n"))
+    return hits.where(F.col("n") == len(wanted)).select("ordinal")
+
+
 def filter_postings(values: DataFrame, block: int = 10_000) -> DataFrame:
     """(facet, value, block, ordinals): sorted ordinals of each value, in blocks of a bounded range."""
     own = values.withColumn("block", F.floor(F.col("ordinal") / block))

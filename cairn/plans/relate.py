@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairn.functions.text import similarity_tokens
-from cairn.operators import relate
+from cairn.operators import index, relate
 from cairn.operators.identity import alias_resolution as resolve_aliases
 from cairn.operators.identity import compare, identities, lookup
 from cairn.operators.ledger import set_digest
 from cairn.plans import sql
 from cairn.plans.registry import query
+from cairn.plans.search import FIELDS_SQL
 from cairn.scratch import materialize
 from cairn.sources.records import corpus, records, table
 
 LANES = tuple(sql.LANES)
+CONTEXT = "compare selecting almond the Supplier published"
+CONTEXT_TERMS = index.query_tokens(CONTEXT)
 
 
 def similar_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +58,29 @@ def context_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relate.context_notes(relate.alternatives(own), own)
 
 
+CONTEXT_FIELDS = FIELDS_SQL | {"context": "note"}
+
+
+@query(
+    PAIRS_SQL + ", o AS (SELECT r.* EXCLUDE (title), r.title, coalesce('Compare before selecting: ' || n.t || '.', 'No close alternative was identified from available metadata.') AS note FROM r LEFT JOIN (SELECT id, string_agg(title, '; ' ORDER BY rank) AS t FROM q WHERE rank <= 3 GROUP BY id) n ON n.id = r.id), f AS ("
+    + " UNION ALL ".join(f"SELECT id, {index.WEIGHTS[f]} AS w, unnest({sql.tokens(f'coalesce({x}, {chr(39) * 2})')}) AS token FROM o" for f, x in CONTEXT_FIELDS.items())
+    + f"), z AS (SELECT id, count(DISTINCT token) AS matched, sum(w) AS score FROM f WHERE list_contains({sql.quoted(tuple(CONTEXT_TERMS))}, token) GROUP BY id) SELECT id, title, CAST(matched AS INTEGER) AS matched, CAST(score AS INTEGER) AS score FROM z JOIN r USING (id) ORDER BY matched DESC, score DESC, lower(title), id LIMIT 20"
+)
+def search_with_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked search in which the titles of a record's alternatives are its context."""
+    own = similar_records(spark, sf_dir)
+    notes = relate.context_notes(relate.alternatives(own), own)
+    return index.ranked(own.drop("context_note").join(notes, "id"), CONTEXT, 20).select("id", "title", "matched", "score")
+
+
+@query(PAIRS_SQL + ", h AS (SELECT DISTINCT id FROM q WHERE rank <= 4) SELECT source_surface, CASE WHEN h.id IS NULL THEN 'no' ELSE 'yes' END AS has_alternatives, count(*) AS n FROM r LEFT JOIN h USING (id) GROUP BY ALL")
+def alternative_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records of each source have alternatives."""
+    own = similar_records(spark, sf_dir).select("id", "source_surface", "title", "topics", "tags")
+    having = relate.alternatives(own).select("id").distinct().withColumn("has", F.lit(True))
+    return own.join(having, "id", "left").groupBy("source_surface", F.when(F.col("has"), "yes").otherwise("no").alias("has_alternatives")).agg(F.count(F.lit(1)).alias("n"))
+
+
 CODES_SQL = f"""WITH {sql.records("parts")}, o AS (SELECT declared_code AS code, id, title, measure = 'ECONOMY' AS anchor, trim(regexp_replace(replace(lower(title), '&', 'and'), '[^a-z0-9]+', ' ', 'g')) AS words FROM r),
 a AS (SELECT code, count(*) AS anchors, min(id) AS anchor_id, arg_min(words, id) AS wanted FROM o WHERE anchor GROUP BY code),
 b AS (SELECT o.code, count(*) AS candidates, count(*) FILTER (words = wanted) AS titled, min(o.id) AS any_id, min(o.id) FILTER (words = wanted) AS match_id FROM o JOIN a USING (code) WHERE NOT anchor GROUP BY o.code),

@@ -106,6 +106,15 @@ def filter_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("facet", "value", "block", F.size("ordinals").cast("long").alias("n"), F.array_join("ordinals", ",").alias("ordinals"))
 
 
+WANTED = {"topic": ["en", "de"], "state": ["published", "restricted"], "has_quality_documentation": ["yes"]}
+
+
+@query(facets_sql() + " SELECT ordinal FROM f WHERE " + " OR ".join(f"(facet = '{k}' AND value IN ({', '.join(map(repr, v))}))" for k, v in WANTED.items()) + f" GROUP BY ordinal HAVING count(DISTINCT facet) = {len(WANTED)}")
+def facet_conjunction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that fit all of several facets, with any of the values wanted of each."""
+    return index.conjunction(index.facet_values(corpus(spark, sf_dir), evidence_score()), WANTED)
+
+
 @query(f"WITH {sql.corpus()} SELECT ordinal, ordinal // 500 AS chunk, id, title, left(notes, 2000) AS notes, {sql.slug('id')} AS name FROM c")
 def result_documents_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("ordinal", F.floor(F.col("ordinal") / index.CHUNK).alias("chunk"), "id", "title", F.left("notes", F.lit(2000)).alias("notes"), "name")

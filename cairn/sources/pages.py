@@ -35,6 +35,12 @@ def text_at(value: Column, *paths: str) -> Column:
     return F.coalesce(*(F.nullif(F.trim(F.try_variant_get(value, p, "string")), F.lit("")) for p in paths))
 
 
+def value_at(value: Column, path: str) -> Column:
+    """The text at a path, or the value, text or name of an object there."""
+    own = text_at(value, path)
+    return F.coalesce(text_at(value, f"{path}.value", f"{path}.text", f"{path}.name"), F.when(~own.startswith("{"), own))
+
+
 def projected(rows: DataFrame, **columns: Column) -> DataFrame:
     empty = {"dimensions": F.array().cast("array<string>"), "keywords": F.array().cast("array<string>"), "extent": F.lit(None).cast(EXTENT)}
     out = rows.select(*(columns.get(c, empty.get(c, F.lit(None).cast("string"))).alias(c) for c in PROJECTION))
@@ -72,7 +78,7 @@ def key_families(pages: DataFrame) -> DataFrame:
     note = lambda k: F.get(F.filter(notes, lambda a: a["k"] == k), 0)["t"]
     concepts = F.transform(listed(v, "$.components.dimension"), lambda d: F.coalesce(F.try_variant_get(d, "$.conceptref", "string"), F.lit("")))
     return projected(
-        items(pages, "$.structure.keyfamilies.keyfamily"), page=F.col("page"), id=text_at(v, "$.id"), title=text_at(v, "$.name.value", "$.name"),
+        items(pages, "$.structure.keyfamilies.keyfamily"), page=F.col("page"), id=text_at(v, "$.id"), title=value_at(v, "$.name"),
         description=F.coalesce(text_at(v, "$.description.value"), note("MetadataText0"), note("contenttype/sources")), modified=note("LastUpdated"), keywords=text_list(F.split(note("Keywords"), ",")), dimensions=concepts,
     )
 
