@@ -1,4 +1,9 @@
-"""A training corpus from raw documents: quality, repeated lines, near copies, leaked benchmarks, tokens."""
+"""A training corpus from raw documents: quality, repeated lines, near copies, leaked benchmarks, tokens.
+
+Every stage takes null, empty and very long texts, null ids, repeated rows, empty tables and further columns of any name: rows without a text
+have no repeated line, no copy and no leak, so they stay unless their quality is low; of repeated rows one stays after the third stage. All stages but the last
+return the columns of their input.
+"""
 
 from __future__ import annotations
 
@@ -31,7 +36,7 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids and how many these are."""
+    """The documents with their token ids and how many these are. Columns of the input that are called ``token_ids`` or ``n_tokens`` give way."""
     return bpe.encode(docs).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
