@@ -90,7 +90,7 @@ def failures(rows: DataFrame, codes: Column, issues: DataFrame) -> DataFrame:
     """(code, n, issues): how often each failure code occurs and the ids of the issues that name it. issues: (issue, code)."""
     counts = rows.select(F.explode(codes).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     named = issues.groupBy("code").agg(F.array_join(F.array_sort(F.collect_set("issue")), ",").alias("issues"))
-    return counts.join(broadcast_if(named, 20_000), "code", "left")
+    return counts.join(broadcast_if(named, 20_000, cheap=True), "code", "left")
 
 
 #: Components that must be whole for a selection to count as safe and exact.
@@ -150,7 +150,7 @@ def score_runs(runs: DataFrame, expected: DataFrame) -> DataFrame:
 
     Runs without an answer or an assessment score 0 on what applies to them. ``expected`` has a row for each task; runs of unknown tasks are left out.
     """
-    both = eligibility(runs).join(broadcast_if(expected, 20_000), "task_id")
+    both = eligibility(runs).join(broadcast_if(expected, 20_000, cheap=True), "task_id")
     answered, assessed = F.col("answer").isNotNull(), F.col("assessment").isNotNull()
     none = F.array().cast("array<string>")
     scores = {"structured_output": answered.cast("double"), "assessment_present": assessed.cast("double")}

@@ -49,7 +49,7 @@ def profile(rows: DataFrame, *by: str) -> DataFrame:
 
 def states(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Each (source_surface, field, present) row's state; ``rules`` (source_surface, field) name slots that don't apply."""
-    marked = rows.join(broadcast_if(rules.withColumn("excluded", F.lit(True)), 20_000), ["source_surface", "field"], "left")
+    marked = rows.join(broadcast_if(rules.withColumn("excluded", F.lit(True)), 20_000, cheap=True), ["source_surface", "field"], "left")
     return marked.withColumn("state", F.when(F.col("present"), "present").when(F.col("excluded"), "not-applicable").otherwise("not-evidenced"))
 
 

@@ -32,10 +32,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
-    """The table, stored once, with a broadcast hint if it has ``rows`` rows at most; beyond that Spark joins it by a shuffle.
+def broadcast_if(df: DataFrame, rows: int, cheap: bool = False) -> DataFrame:
+    """The table with a broadcast hint if it has ``rows`` rows at most; beyond that Spark joins it by a shuffle.
 
-    Its size is counted while the plan is made, from the footers of the stored files.
+    Its size is counted while the plan is made: from the footers of a stored copy, so that it is worked out once, or from the table itself if
+    that is ``cheap``, a scan of stored rows or a short list.
     """
-    stored = materialize(df, "counted")
-    return F.broadcast(stored) if stored.count() <= rows else stored
+    own = df if cheap else materialize(df, "counted")
+    return F.broadcast(own) if own.limit(rows + 1).count() <= rows else own

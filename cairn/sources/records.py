@@ -64,13 +64,13 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations with their regions."""
+    """Nations with their regions. Spark broadcasts them by the size of their files."""
     region = table(spark, sf_dir, "region")
-    return table(spark, sf_dir, "nation").join(broadcast_if(region, 1000), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    return table(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "supplier").join(broadcast_if(places(spark, sf_dir), 1000), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf_dir, "supplier").join(places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
     return shaped(
         rows, id=lane_id("suppliers", F.col("s_suppkey")), native_id=F.col("s_suppkey"), title=F.col("s_name"), record_type=F.lit("Supplier"), source_surface=F.lit("suppliers"),
         topics=F.array("n_name"), area_served=F.array("r_name"), publisher_title=F.col("n_name"),
@@ -78,7 +78,7 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").join(broadcast_if(places(spark, sf_dir), 1000), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf_dir, "customer").join(places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
     return shaped(
         rows, id=lane_id("customers", F.col("c_custkey")), native_id=F.col("c_custkey"), title=F.col("c_name"), record_type=F.lit("Customer"), source_surface=F.lit("customers"),
         topics=F.array("c_mktsegment"), area_served=F.array("r_name"), publisher_title=F.col("n_name"), population_type=F.col("c_mktsegment"),
@@ -123,4 +123,4 @@ def corpus(spark: SparkSession, sf_dir: str, *lanes: str) -> DataFrame:
     """All records once, with their place in the corpus as ``ordinal``. Only ids and what orders them are numbered, never whole texts."""
     own = records(spark, sf_dir, *lanes)
     places = with_ordinal(own.select("source_surface", F.left("title", F.lit(1000)).alias("title"), "id"), *corpus_order()).select("id", "ordinal")
-    return own.join(broadcast_if(places, 200_000), "id")
+    return own.join(broadcast_if(places, 200_000, cheap=True), "id")
