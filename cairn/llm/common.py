@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cairn.scratch import materialize, scratch_dir, scratch_path
 
-__all__ = ["WordHash", "column", "free_name", "held_out", "materialize", "mix", "rows_of", "scratch_dir", "scratch_path", "shingles", "table", "text_key", "words"]
+__all__ = ["WordHash", "column", "free_name", "held_out", "materialize", "mix", "rows_of", "runs_of", "scratch_dir", "scratch_path", "shingles", "table", "text_key", "words"]
 
 #: Bytes outside [0-9a-z] and below 0x80 part words; A-Z become a-z. A UTF-8 byte of 0x80 or more always belongs to a word.
 WORD_BYTES = bytes(
@@ -92,5 +92,35 @@ def rows_of(batches: Iterable[pa.RecordBatch], name: str, at_most: int = 256) ->
             yield part, column(part, name)
 
 
+def runs_of(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterable[tuple[tuple, list[pa.RecordBatch]]]:
+    """Rows of a sorted partition, run by run of equal keys: the keys' values and the batches of that run, which are held until it ends."""
+    held: list[pa.RecordBatch] = []
+    for key, part in parts_of(batches, *keys):
+        if held and key != now:
+            yield now, held
+            held = []
+        now = key
+        held.append(part)
+    if held:
+        yield now, held
+
+
+def parts_of(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterable[tuple[tuple, pa.RecordBatch]]:
+    """Slices of the batches of a sorted partition whose rows have equal keys, with the keys' values. A run may come in several slices."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        edge = np.zeros(n, bool)
+        edge[0] = True
+        columns = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+        for c in columns:
+            codes = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            edge[1:] |= codes[1:] != codes[:-1]
+        begins = np.flatnonzero(edge)
+        for a, b in zip(begins.tolist(), [*begins[1:].tolist(), n], strict=True):
+            yield tuple(c[a].as_py() for c in columns), batch.slice(a, b - a)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
