@@ -1,6 +1,6 @@
 """All queries by name."""
 
-from cairn.plans import broker, evaluation, evidence, gaps, lanes, ledger, relate, search, shapes, sources
+from cairn.plans import broker, evaluation, evidence, gaps, lanes, ledger, relate, search, shapes, snapshot, sources
 from cairn.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "broker", "evaluation", "evidence", "gaps", "lanes", "ledger", "relate", "search", "shapes", "sources"]
+__all__ = ["QUERIES", "SQL", "broker", "evaluation", "evidence", "gaps", "lanes", "ledger", "relate", "search", "shapes", "snapshot", "sources"]
