@@ -1,6 +1,6 @@
 """All queries by name."""
 
-from cairn.plans import broker, evaluation, evidence, gaps, lanes, ledger, relate, search, shapes, snapshot, sources, variants
+from cairn.plans import broker, cubes, derivations, evaluation, evidence, gaps, lanes, ledger, relate, search, shapes, snapshot, sources, variants
 from cairn.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "broker", "evaluation", "evidence", "gaps", "lanes", "ledger", "relate", "search", "shapes", "snapshot", "sources", "variants"]
+__all__ = ["QUERIES", "SQL", "broker", "cubes", "derivations", "evaluation", "evidence", "gaps", "lanes", "ledger", "relate", "search", "shapes", "snapshot", "sources", "variants"]
