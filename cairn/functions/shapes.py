@@ -16,7 +16,7 @@ NOT_CLAIMS = ("schema", "claims_are_alignment_not_certification")
 def declared_codes(native_id: Column, title: Column) -> Column:
     """Sorted table codes: the record's own id, if it is one, and a code that the title begins with."""
     own = F.when(F.upper(native_id).rlike(r"^[A-Z]{2}\d{3}$"), F.upper(native_id))
-    begun = F.nullif(F.upper(F.regexp_extract(title, r"(?i)^\s*([A-Z]{2}\d{3})[A-Z]*\s*(?:[-:–—]|$)", 1)), F.lit(""))
+    begun = F.nullif(F.upper(F.regexp_extract(title, r"(?i)^\s*([A-Z]{2}\d{3}[A-Z]*)\s*(?:[-:–—]|$)", 1)), F.lit(""))
     return F.array_sort(F.array_distinct(F.array_compact(F.array(own, begun))))
 
 

@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 from cairn.operators import index
 from cairn.operators.identity import KEYS, identities, lookup
-from cairn.operators.validate import SECRETS
 
 OUTCOMES = ("NOT_FOUND", "AMBIGUOUS", "INVALID_ARGUMENT", "BINDING_PLANNED", "REQUIRES_LIVE_INSPECTION", "PROHIBITED_INPUT")
 #: Argument names that must not be passed.
 FORBIDDEN = (
-    "access_token", "analysis", "api_key", "apikey", "authorization", "bearer", "chain_of_thought", "chainofthought", "credential", "credentials", "hidden_reasoning", "observation",
-    "observation_values", "observations", "password", "private_reasoning", "raw_chain_of_thought", "reasoning", "secret", "secrets", "thoughts",
+    "access_token", "api_key", "apikey", "authorization", "bearer", "chain_of_thought", "credential", "credentials", "hidden_reasoning", "observation", "observation_values", "observations", "password",
+    "private_reasoning", "reasoning", "secret", "secrets", "thoughts",
 )
 #: Patterns of text that callers must not pass.
 PROHIBITED = {
@@ -27,7 +26,7 @@ PROHIBITED = {
     "access_key": r"\bAKIA[A-Z0-9]{16}\b",
     "repository_token": r"\bgh[pousr]_[A-Za-z0-9]{20,}\b",
     "map_key": r"\bAIza[A-Za-z0-9_-]{30,}\b",
-    "home_path": r"(?i)(?:/Users/|/Volumes/|[A-Z]:\\Users\\)",
+    "home_path": r"(?i)(?:/Users/|/Volumes/|[A-Z]:\\\\Users\\\\)",
 }
 
 
@@ -49,7 +48,7 @@ def guard(value: object) -> None:
     elif isinstance(value, (list, tuple)):
         for v in value:
             guard(v)
-    elif isinstance(value, str) and any(re.search(p, value) for p in (*SECRETS.values(), *PROHIBITED.values())):
+    elif isinstance(value, str) and any(re.search(p, value) for p in PROHIBITED.values()):
         raise Refused("PROHIBITED_INPUT", "the input looks like a secret")
 
 
@@ -57,7 +56,7 @@ def refusals(names: Column, text: Column) -> Column:
     """Why requests are refused, as ``guard`` does one by one: forbidden argument names and kinds of prohibited text, sorted."""
     plain = F.transform(names, lambda n: F.btrim(F.regexp_replace(F.lower(n), "[^a-z]+", "_"), F.lit("_")))
     forbidden = F.array_intersect(plain, F.array(*map(F.lit, FORBIDDEN)))
-    kinds = F.filter(F.array(*(F.when(text.rlike(p), F.lit(f"text:{k}")) for k, p in (PROHIBITED | SECRETS).items())), F.isnotnull)
+    kinds = F.filter(F.array(*(F.when(text.rlike(p), F.lit(f"text:{k}")) for k, p in PROHIBITED.items())), F.isnotnull)
     return F.array_sort(F.concat(F.transform(forbidden, lambda n: F.concat(F.lit("name:"), n)), kinds))
 
 

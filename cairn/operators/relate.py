@@ -15,10 +15,14 @@ KINDS = {
     "cross-source-alternative": ("vocab/crossSourceDiscoveryAlternative", "inferred", "rules/deterministic-title-topic-similarity-v1"),
     "cross-source-representation": ("vocab/crossSourceRepresentation", "normalized", "rules/shared-declared-table-code-v1"),
 }
+#: Names of the fields in which two records are held against each other, with the columns that they come from.
 CONTRASTS = {
-    "source surface": "source_surface", "record type": "record_type", "topic": "topics", "measure": "measure", "unit": "unit_of_measure", "frequency": "frequency",
-    "population": "population_type", "geography": "area_served", "source producers": "publisher_title", "release state": "state", "last updated": "metadata_modified",
+    "source surface": "source_surface", "record type": "record_type", "dataset family": "dataset_family", "topic": "topics", "measure": "measure", "unit": "unit_of_measure", "frequency": "frequency",
+    "population": "population_type", "geography": "area_served", "geography vintage": "geography_vintage", "time coverage": "time_coverage", "source producers": "publisher_title", "edition": "latest_edition",
+    "version": "latest_version", "release state": "state", "last updated": "metadata_modified", "methodology evidence": "methodology_links", "quality documentation": "quality_links",
 }
+#: Of these lists only whether they hold anything counts.
+EVIDENCED = ("methodology_links", "quality_links")
 
 
 def tokenised(records: DataFrame) -> DataFrame:
@@ -65,13 +69,20 @@ def context_notes(found: DataFrame, records: DataFrame) -> DataFrame:
     return records.select("id").join(notes, "id", "left").select("id", F.coalesce("context_note", none).alias("context_note"))
 
 
-def contrast_text(name: str) -> Column:
-    return F.array_join(name, ",") if name in ("topics", "area_served") else F.col(name).cast("string")
+def contrast_text(records: DataFrame, name: str) -> Column:
+    """A column as text: lists joined, of evidence whether there is any. A subtopic goes before the topics; a column that records lack is empty."""
+    if name == "topics" and "subtopic" in records.columns:
+        return F.coalesce(F.nullif("subtopic", F.lit("")), F.array_join("topics", ","))
+    if name in EVIDENCED:
+        return (F.size(name) > 0).cast("string") if name in records.columns else F.lit("false")
+    if name not in records.columns:
+        return F.lit("")
+    return F.array_join(name, ",") if records.schema[name].dataType.typeName() == "array" else F.col(name).cast("string")
 
 
 def contrasts(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """(id, other, field, selected, alternative): fields whose values differ, one of them at least present."""
-    values = F.array(*(F.struct(F.lit(k).alias("field"), F.coalesce(contrast_text(v), F.lit("")).alias("value")) for k, v in CONTRASTS.items()))
+    values = F.array(*(F.struct(F.lit(k).alias("field"), F.coalesce(contrast_text(records, v), F.lit("")).alias("value")) for k, v in CONTRASTS.items()))
     own = records.select("id", values.alias("v"))
     both = pairs.select("id", "other").join(own, "id").join(own.select(F.col("id").alias("other"), F.col("v").alias("w")), "other")
     rows = both.select("id", "other", F.explode(F.zip_with("v", "w", lambda a, b: F.struct(a["field"].alias("field"), a["value"].alias("selected"), b["value"].alias("alternative")))).alias("d"))

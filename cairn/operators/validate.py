@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cairn.scratch import materialize
 
-#: Patterns of content that must not be published. The last finds tokens assigned in text.
+#: Patterns of content that must not be published, and the library's own one of tokens assigned in text, which comes last.
 SECRETS = {
     "key": r"\bsk-(?:proj-)?[A-Za-z0-9_-]{16,}\b",
     "web_token": r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{8,}\b",
@@ -21,6 +21,18 @@ SECRETS = {
 }
 
 
+#: Names of fields that must not be published.
+PRIVATE_FIELDS = ("analysis", "chain_of_thought", "chainofthought", "hidden_reasoning", "private_reasoning", "raw_chain_of_thought")
+
+
+def unpublishable(names: Column, text: Column) -> Column:
+    """Why an artefact can't be published: private field names, compared in lower case with underscores for hyphens, and the fixed kinds of forbidden content."""
+    plain = F.transform(names, lambda n: F.replace(F.lower(F.trim(n)), F.lit("-"), F.lit("_")))
+    private = F.transform(F.array_intersect(plain, F.array(*map(F.lit, PRIVATE_FIELDS))), lambda n: F.concat(F.lit("name:"), n))
+    kinds = F.filter(F.array(*(F.when(text.rlike(p), F.lit(f"text:{k}")) for k, p in SECRETS.items() if k != "assignment")), F.isnotnull)
+    return F.array_sort(F.concat(private, kinds))
+
+
 def violations(rows: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """(key, rule): rules, true where a row is right, that a row breaks; null counts as broken."""
     broken = F.filter(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items())), F.isnotnull)

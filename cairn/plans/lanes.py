@@ -29,13 +29,13 @@ def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.items(made_pages(table(spark, sf_dir, "customer"), K, item, '{"items":[@]}'), "$.items", "$.results")
 
 
-EDITION_SQL, VERSION_SQL = f"CASE WHEN {K} % 4 < 2 THEN 'e' || {K} % 5 END", f"CASE WHEN {K} % 4 = 0 THEN CAST({K} % 9 AS VARCHAR) END"
+EDITION_SQL, VERSION_SQL = f"CASE WHEN {K} % 4 = 0 THEN 'e' || {K} % 5 END", f"CASE WHEN {K} % 4 = 0 THEN CAST({K} % 9 AS VARCHAR) END"
 
 
 @query(
     f"""SELECT 'catalogue:dataset:d' || {K} AS id, CASE WHEN {K} % 7 <> 0 THEN c_name ELSE 'd' || {K} END AS title, 'About & ' || c_mktsegment AS notes, CASE WHEN {K} % 3 = 0 THEN 'https://own.example/' || {K} ELSE 'https://catalogue.example/v1/datasets/d' || {K} END AS url,
     array_to_string(list_sort([c_mktsegment, 'b']), ',') AS topics, CASE WHEN {K} % 5 = 0 THEN 'retired' ELSE 'published' END AS state, CASE WHEN {K} % 2 = 0 THEN 'people' END AS population_type, {EDITION_SQL} AS latest_edition, {VERSION_SQL} AS latest_version,
-    CASE {K} % 4 WHEN 0 THEN 'ons_data.dimensions' WHEN 1 THEN 'ons_data.versions' ELSE 'ons_data.editions' END AS selection_tool, 'dataset=d' || {K} || CASE WHEN {K} % 4 < 2 THEN ',edition=e' || {K} % 5 ELSE '' END || CASE WHEN {K} % 4 = 0 THEN ',version=' || {K} % 9 ELSE '' END AS arguments FROM customer WHERE {K} % 11 <> 0"""
+    CASE {K} % 4 WHEN 0 THEN 'ons_data.dimensions' ELSE 'ons_data.editions' END AS selection_tool, 'dataset=d' || {K} || CASE WHEN {K} % 4 = 0 THEN ',edition=e' || {K} % 5 ELSE '' END || CASE WHEN {K} % 4 = 0 THEN ',version=' || {K} % 9 ELSE '' END AS arguments FROM customer WHERE {K} % 11 <> 0"""
 )
 def catalogue_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue items as records, with the tool by which their selection goes on."""

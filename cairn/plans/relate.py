@@ -39,17 +39,31 @@ def alternatives_top4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relate.alternatives(similar_records(spark, sf_dir)).withColumn("shared", F.array_join("shared", ","))
 
 
-CONTRAST_SQL = {"source surface": "source_surface", "record type": "record_type", "topic": "array_to_string(topics, ',')", "measure": "measure", "unit": "unit_of_measure",
-    "population": "population_type", "geography": "array_to_string(area_served, ',')", "source producers": "publisher_title", "release state": "state"}
+#: What records of the lanes lack, from what they have: expressions of Spark and of SQL alike.
+MORE = {
+    "dataset_family": "split_part(measure, ' ', 1)", "subtopic": "CASE WHEN record_type = 'Document' THEN concat('in ', publisher_title) END", "geography_vintage": "CASE WHEN record_type = 'Supplier' THEN 2011 + length(title) % 10 END",
+    "time_coverage": "CASE WHEN record_type = 'Page' THEN concat('200', length(title) % 10) END", "latest_edition": "CASE WHEN record_type = 'Part' THEN substring(unit_of_measure, 1, 1) END",
+    "latest_version": "CASE WHEN record_type = 'Part' THEN substring(unit_of_measure, 2, 1) END", "methodology_count": "length(title) % 2", "quality_count": "length(title) % 3",
+}
+CONTRAST_SQL = {
+    "source surface": "source_surface", "record type": "record_type", "dataset family": "dataset_family", "topic": "coalesce(nullif(subtopic, ''), array_to_string(topics, ','))", "measure": "measure", "unit": "unit_of_measure", "frequency": "NULL",
+    "population": "population_type", "geography": "array_to_string(area_served, ',')", "geography vintage": "geography_vintage::VARCHAR", "time coverage": "time_coverage", "source producers": "publisher_title", "edition": "latest_edition",
+    "version": "latest_version", "release state": "state", "last updated": "NULL", "methodology evidence": "(methodology_count > 0)::VARCHAR", "quality documentation": "(quality_count > 0)::VARCHAR",
+}
+MORE_SQL = "m AS (SELECT *, " + ", ".join(f"{v} AS {k}" for k, v in MORE.items()) + " FROM r)"
 
 
 @query(
-    PAIRS_SQL + ", v AS (" + " UNION ALL ".join(f"SELECT id, '{k}' AS field, coalesce({v}, '') AS value FROM r" for k, v in CONTRAST_SQL.items())
-    + ") SELECT q.id, q.other, v.field, v.value AS selected, w.value AS alternative FROM q JOIN v ON v.id = q.id JOIN v w ON w.id = q.other AND w.field = v.field WHERE q.rank <= 4 AND v.value <> w.value"
+    PAIRS_SQL + f", {MORE_SQL}, v AS (SELECT id, [" + ", ".join(f"coalesce({v}, '')" for v in CONTRAST_SQL.values()) + f"""] AS own FROM m),
+    d AS (SELECT q.id, q.other, ({list(CONTRAST_SQL)})[i] AS field, v.own[i] AS selected, w.own[i] AS alternative FROM (SELECT id, other, unnest(range(1, {len(CONTRAST_SQL) + 1})) AS i FROM q WHERE rank <= 4) q JOIN v ON v.id = q.id JOIN v w ON w.id = q.other)
+    SELECT * FROM d WHERE selected <> alternative"""
 )
 def contrast_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields in which records differ from their alternatives."""
     own = similar_records(spark, sf_dir)
-    return relate.contrasts(relate.alternatives(own), own)
+    more = own.select("*", *(F.expr(v).alias(k) for k, v in MORE.items()))
+    link = lambda n: F.when(F.col(n) > 0, F.array(F.lit("https://m.example/"))).otherwise(F.array().cast("array<string>"))
+    return relate.contrasts(relate.alternatives(own), more.withColumns({"methodology_links": link("methodology_count"), "quality_links": link("quality_count")}))
 
 
 @query(PAIRS_SQL + " SELECT r.id, coalesce('Compare before selecting: ' || n.t || '.', 'No close alternative was identified from available metadata.') AS context_note FROM r LEFT JOIN (SELECT id, string_agg(title, '; ' ORDER BY rank) AS t FROM q WHERE rank <= 3 GROUP BY id) n ON n.id = r.id")

@@ -10,7 +10,7 @@ from cairn.operators import index
 from cairn.operators.gaps import evidence_score
 from cairn.plans import sql
 from cairn.plans.registry import query
-from cairn.sources.records import corpus, corpus_order, first_of_each, records, table, with_ordinal
+from cairn.sources.records import corpus, corpus_of, corpus_order, first_of_each, records, table, with_ordinal
 
 TEXT = "Worthless idiot documents: heention src3 thion"
 TERMS = index.query_tokens(TEXT)
@@ -214,3 +214,11 @@ def chunk_shard_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = corpus(spark, sf_dir).withColumn("shard", F.floor(F.col("ordinal") / 250))
     ids = F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "id"))), lambda x: x["id"])
     return own.groupBy("shard").agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.length("id")).alias("characters"), F.sha2(F.array_join(ids, ","), 256).alias("digest"))
+
+
+@query(f"WITH {sql.corpus()} SELECT ordinal, id, title FROM c")
+def corpus_of_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus of records that all come three times, and of some copies under other titles that sort behind."""
+    own = records(spark, sf_dir)
+    copies = own.where("native_id % 3 = 0").withColumn("title", F.concat(F.coalesce("title", F.lit("~")), F.lit("~")))
+    return corpus_of(own.unionAll(own).unionAll(own.where("title IS NOT NULL")).unionAll(copies.where("title <> '~~'"))).select("ordinal", "id", "title")

@@ -22,7 +22,7 @@ SHOUT = f"concat(' API-Key ', CAST({P} AS STRING), '!')"
 
 
 @query(
-    f"""SELECT {P}, array_to_string(list_sort(list_distinct(list_filter([CASE WHEN regexp_matches(upper({CODE}), '^[A-Z]{{2}}\\d{{3}}$') THEN upper({CODE}) END, CASE {P} % 4 WHEN 0 THEN 'KS101' WHEN 1 THEN 'KS102' END], lambda x: x IS NOT NULL))), ',') AS codes,
+    f"""SELECT {P}, array_to_string(list_sort(list_distinct(list_filter([CASE WHEN regexp_matches(upper({CODE}), '^[A-Z]{{2}}\\d{{3}}$') THEN upper({CODE}) END, CASE {P} % 4 WHEN 0 THEN 'KS101EW' WHEN 1 THEN 'KS102' END], lambda x: x IS NOT NULL))), ',') AS codes,
     CASE {P} % 3 WHEN 0 THEN 'Unit Of Measure' WHEN 1 THEN 'Last Updated' ELSE 'Source Publisher Title' END AS label, 'apikey' || {P} AS plain, 'api_key_' || {P} AS under, CASE WHEN {P} % 5 = 0 THEN 'Not evidenced in this snapshot' ELSE p_brand END AS shown FROM part"""
 )
 def codes_and_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

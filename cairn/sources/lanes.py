@@ -16,7 +16,7 @@ from cairn.sources.pages import listed, text_at, texts, value_at
 #: Roots of the sources' addresses.
 CATALOGUE, STRUCTURES, GEOGRAPHY = "https://catalogue.example/v1", "https://structures.example/api", "https://geography.example"
 #: Tools by which a selection is completed, and why it isn't complete.
-DIMENSIONS, VERSIONS, EDITIONS, QUERY, STRUCTURE_QUERY = "ons_data.dimensions", "ons_data.versions", "ons_data.editions", "ons_data.query", "nomis_query"
+DIMENSIONS, EDITIONS, QUERY, STRUCTURE_QUERY = "ons_data.dimensions", "ons_data.editions", "ons_data.query", "nomis_query"
 COLUMNS = (
     "id", "native_id", "source_surface", "record_type", "title", "notes", "url", "topics", "tags", "state", "frequency", "population_type", "geography", "geography_vintage", "area_served", "bbox", "metadata_modified",
     "latest_edition", "latest_version", "access_model", "selection_tool", "selection_arguments", "query_tool", "binding_status", "methodology_links", "quality_links", "quality_notes",
@@ -25,9 +25,9 @@ LISTS = ("topics", "tags", "geography", "area_served", "methodology_links", "qua
 
 
 def version_identity(link: Column) -> dict[str, Column]:
-    """Dataset, edition and version that the path of a link names; null where it doesn't."""
-    part = lambda name: F.nullif(F.regexp_extract(link, f"/{name}/([^/?#]+)", 1), F.lit(""))
-    return {"dataset": part("datasets"), "edition": part("editions"), "version": part("versions")}
+    """Dataset, edition and version that the path of a link names one after another; all null where it doesn't name the three."""
+    part = lambda n: F.nullif(F.regexp_extract(link, "/datasets/([^/]+)/editions/([^/]+)/versions/([^/?#]+)", n), F.lit(""))
+    return {"dataset": part(1), "edition": part(2), "version": part(3)}
 
 
 def mapped(rows: DataFrame, lane: str, kind: str, **given: Column) -> DataFrame:
@@ -42,13 +42,13 @@ def catalogue_records(items: DataFrame) -> DataFrame:
     v = F.col("v")
     key, latest = text_at(v, "$.id"), text_at(v, "$.links.latest_version.href")
     known = version_identity(latest)
-    exact, edition = known["edition"].isNotNull() & known["version"].isNotNull(), known["edition"].isNotNull()
-    arguments = F.map_filter(F.create_map(F.lit("dataset"), key, F.lit("edition"), known["edition"], F.lit("version"), F.when(exact, known["version"])), lambda _, x: x.isNotNull())
+    exact = known["version"].isNotNull()
+    arguments = F.map_filter(F.create_map(F.lit("dataset"), key, F.lit("edition"), known["edition"], F.lit("version"), known["version"]), lambda _, x: x.isNotNull())
     return mapped(
         items, "catalogue", "Catalogue Dataset", native_id=key, title=F.coalesce(F.nullif(plain_text(text_at(v, "$.title"), 1000), F.lit("")), key), notes=plain_text(text_at(v, "$.description")),
         url=F.coalesce(text_at(v, "$.links.self.href"), F.concat(F.lit(f"{CATALOGUE}/datasets/"), key)), topics=texts(v, "$.keywords"), tags=texts(v, "$.keywords"), state=F.coalesce(text_at(v, "$.state"), F.lit("published")),
         frequency=text_at(v, "$.release_frequency"), population_type=text_at(v, "$.is_based_on.id"), geography=texts(v, "$.geography"), metadata_modified=text_at(v, "$.last_updated"), latest_edition=known["edition"],
-        latest_version=known["version"], selection_tool=F.when(exact, DIMENSIONS).when(edition, VERSIONS).otherwise(EDITIONS), selection_arguments=arguments, query_tool=F.lit(QUERY), binding_status=F.lit("available"),
+        latest_version=known["version"], selection_tool=F.when(exact, DIMENSIONS).otherwise(EDITIONS), selection_arguments=arguments, query_tool=F.lit(QUERY), binding_status=F.lit("available"),
         methodology_links=texts(v, "$.methodology_links"), quality_links=texts(v, "$.quality_links"), quality_notes=texts(v, "$.quality_notes"),
     )
 

@@ -119,8 +119,16 @@ def corpus_order() -> list[Column]:
     return [F.col("source_surface"), F.lower("title"), F.col("id")]
 
 
-def corpus(spark: SparkSession, sf_dir: str, *lanes: str) -> DataFrame:
-    """All records once, with their place in the corpus as ``ordinal``. Only ids and what orders them are numbered, never whole texts."""
-    own = records(spark, sf_dir, *lanes)
-    places = with_ordinal(own.select("source_surface", F.left("title", F.lit(1000)).alias("title"), "id"), *corpus_order()).select("id", "ordinal")
+def corpus_of(own: DataFrame) -> DataFrame:
+    """Records once per id, of repeated ones the first in the order of their columns, with their place in the corpus as ``ordinal``.
+
+    Only ids and what orders them are numbered, never whole texts.
+    """
+    own = first_of_each(own, "id", "source_surface", "title")
+    places = with_ordinal(own.select("source_surface", "title", "id"), *corpus_order()).select("id", "ordinal")
     return own.join(broadcast_if(places, 200_000, cheap=True), "id")
+
+
+def corpus(spark: SparkSession, sf_dir: str, *lanes: str) -> DataFrame:
+    """All records once, in their order."""
+    return corpus_of(records(spark, sf_dir, *lanes))
