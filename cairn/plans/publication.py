@@ -20,7 +20,7 @@ def nodes(spark: SparkSession, sf_dir: str, *lanes: str) -> DataFrame:
     """(ordinal, node, triples): records as nodes that link to their topics, tags and areas."""
     about = F.array_compact(F.concat("topics", "tags", "area_served"))
     linked = F.array_join(F.transform(about, lambda t: F.concat(F.lit('{"@id":"'), t, F.lit('"}'))), ",")
-    return corpus(spark, sf_dir, *lanes).select("ordinal", F.concat(F.lit('{"@id":"'), "id", F.lit('","about":['), linked, F.lit("]}")).alias("node"), F.size(about).alias("triples"))
+    return corpus(spark, sf_dir, *lanes).select("ordinal", F.concat(F.lit('{"@id":"'), "id", F.lit('","about":['), linked, F.lit("]}")).alias("node"), F.size(about).cast("bigint").alias("triples"))
 
 
 @query(
@@ -44,4 +44,4 @@ def republished_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     for lanes in ((), REMAINING):
         shards.publish(nodes(spark, sf_dir, *lanes), path, CONTEXT)
     back = shards.published(spark, path)
-    return back.select("shard", F.col("at").alias("place"), F.try_variant_get("node", "$['@id']", "string").alias("id"), F.size(F.try_variant_get("node", "$.about", "array<variant>")).alias("triples"))
+    return back.select("shard", F.col("at").alias("place"), F.try_variant_get("node", "$['@id']", "string").alias("id"), F.size(F.try_variant_get("node", "$.about", "array<variant>")).cast("bigint").alias("triples"))
