@@ -1,6 +1,6 @@
 """All queries by name."""
 
-from cairn.plans import acquisition, broker, cubes, derivations, evaluation, evidence, gaps, lanes, ledger, publication, relate, search, shapes, snapshot, sources, variants
+from cairn.plans import acquisition, broker, cubes, derivations, evaluation, evidence, gaps, lanes, ledger, publication, relate, schemas, search, shapes, snapshot, sources, structures, variants
 from cairn.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "broker", "cubes", "derivations", "evaluation", "evidence", "gaps", "lanes", "ledger", "publication", "relate", "search", "shapes", "snapshot", "sources", "variants"]
+__all__ = ["QUERIES", "SQL", "broker", "cubes", "derivations", "evaluation", "evidence", "gaps", "lanes", "ledger", "publication", "relate", "schemas", "search", "shapes", "snapshot", "sources", "structures", "variants"]
