@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
@@ -29,15 +30,21 @@ def joined(*columns: str) -> Column:
     return F.concat_ws(" ", *columns)
 
 
-def search_fields() -> dict[str, Column]:
-    """Text of each search field of a record. No lane has standards of its own."""
-    return {
+def search_fields(columns: Iterable[str] = ()) -> dict[str, Column]:
+    """Text of each search field of a record with these columns. Records of lanes have no standards until ``standards.with_standards`` has given them some."""
+    own = {"standards": standards_text(F.col("standards"))} if "standards" in columns else {}
+    return own | {
         "title": F.col("title"), "context": F.col("context_note"), "description": F.col("notes"), "topics": joined("topics", "tags"),
         "statistical": joined("measure", "unit_of_measure", "frequency", "population_type"), "geography_time": joined("area_served"), "producers": F.col("publisher_title"),
         "record_type": F.col("record_type"), "source": F.col("source_surface"), "identifiers": joined("id", "native_id"),
     }
 
 
+def standards_text(standards: Column) -> Column:
+    """What is searched of a record's standards: names and statuses."""
+    return F.array_join(F.transform(standards, lambda s: F.concat_ws(" ", s["standard"], s["status"])), " ")
+
+
 def query_tokens(text: str) -> list[str]:
     """The search tokenizer for a query, which is ASCII or folded already; the driver needs no Spark job for it."""
     import re
@@ -58,9 +65,9 @@ def ranked(records: DataFrame, text: str, limit: int = 10) -> DataFrame:
     if not terms:
         return records.withColumns({"matched": F.lit(0), "score": F.lit(0)}).orderBy("source_surface", F.lower("title"), "id").limit(limit)
     wanted = F.array(*map(F.lit, terms))
-    hits = {f: F.array_intersect(search_tokens(F.coalesce(c, F.lit(""))), wanted) for f, c in search_fields().items()}
+    hits = {f: F.array_intersect(search_tokens(F.coalesce(c, F.lit(""))), wanted) for f, c in search_fields(records.columns).items()}
     any_term = "|".join(t.replace(".", r"\.") for t in terms)
-    rows = records.where(fold(F.concat_ws(" ", *search_fields().values())).rlike(any_term)).withColumns({f"_{f}": h for f, h in hits.items()})
+    rows = records.where(fold(F.concat_ws(" ", *search_fields(records.columns).values())).rlike(any_term)).withColumns({f"_{f}": h for f, h in hits.items()})
     score = sum((F.size(f"_{f}") * WEIGHTS[f] for f in hits), F.lit(0))
     matched = F.size(F.array_distinct(F.concat(*(F.col(f"_{f}") for f in hits))))
     rows = rows.withColumns({"matched": matched, "score": score}).drop(*(f"_{f}" for f in hits))
@@ -69,7 +76,7 @@ def ranked(records: DataFrame, text: str, limit: int = 10) -> DataFrame:
 
 def postings(corpus: DataFrame) -> DataFrame:
     """(token, ordinal, score, mask): weights and masks of the fields of a record that hold a token, each field once."""
-    fields = F.array(*(F.struct(F.lit(WEIGHTS[f]).alias("w"), F.lit(MASKS[f]).alias("m"), search_tokens(F.coalesce(c, F.lit(""))).alias("t")) for f, c in search_fields().items()))
+    fields = F.array(*(F.struct(F.lit(WEIGHTS[f]).alias("w"), F.lit(MASKS[f]).alias("m"), search_tokens(F.coalesce(c, F.lit(""))).alias("t")) for f, c in search_fields(corpus.columns).items()))
     rows = corpus.select("ordinal", F.explode(fields).alias("f")).select("ordinal", "f.w", "f.m", F.explode("f.t").alias("token"))
     return rows.groupBy("token", "ordinal").agg(F.sum("w").alias("score"), F.bit_or("m").alias("mask"))
 
@@ -94,11 +101,15 @@ def completions(words: DataFrame, limit: int = COMPLETIONS) -> DataFrame:
     return each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= limit)
 
 
-def facets(score: Column) -> dict[str, Column]:
-    """List of values of each facet of a record."""
-    one = lambda c: F.array(F.nullif(F.col(c), F.lit("")))
+def facets(score: Column, columns: Iterable[str] = ()) -> dict[str, Column]:
+    """List of values of each facet of a record with these columns. Five facets come from columns that not every record has: without them their value is missing."""
+    one = lambda c: F.array(F.nullif(F.col(c).cast("string"), F.lit("")))
     yes = lambda c: F.array(F.when(c, "yes").otherwise("no"))
-    return {
+    none = F.array().cast("array<string>")
+    own = {c: one(c) if c in columns else none for c in ("subtopic", "geography_vintage", "binding_status")}
+    own["derivation_mode"] = F.col("derivation_modes") if "derivation_modes" in columns else none
+    own["has_alternatives"] = yes(F.coalesce(F.col("alternative_count") > 0, F.lit(False))) if "alternative_count" in columns else none
+    return own | {
         "source_surface": one("source_surface"), "record_type": one("record_type"), "topic": F.col("topics"), "state": one("state"), "frequency": one("frequency"),
         "population_type": one("population_type"), "source_publisher": one("publisher_title"), "unit_of_measure": one("unit_of_measure"), "geography_level": F.col("area_served"),
         "metadata_evidence_band": F.array(evidence_band(score)), "has_methodology": yes(F.size("methodology_links") > 0), "has_quality_documentation": yes(F.size("quality_notes") > 0),
@@ -107,7 +118,7 @@ def facets(score: Column) -> dict[str, Column]:
 
 def facet_values(corpus: DataFrame, score: Column) -> DataFrame:
     """(facet, value, ordinal): distinct values; records without one count as missing."""
-    own = [F.struct(F.lit(k).alias("facet"), F.array_distinct(F.filter(v, lambda x: x.isNotNull() & (x != ""))).alias("values")) for k, v in facets(score).items()]
+    own = [F.struct(F.lit(k).alias("facet"), F.array_distinct(F.filter(v, lambda x: x.isNotNull() & (x != ""))).alias("values")) for k, v in facets(score, corpus.columns).items()]
     rows = corpus.select("ordinal", F.explode(F.array(*own)).alias("f"))
     values = F.when(F.size("f.values") > 0, F.col("f.values")).otherwise(F.array(F.lit(MISSING)))
     return rows.select("ordinal", F.col("f.facet").alias("facet"), F.explode(values).alias("value"))

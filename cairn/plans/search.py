@@ -84,7 +84,8 @@ def facets_sql() -> str:
     from cairn.plans.gaps import SCORE_SQL
 
     one = lambda c: f"[nullif({c}, '')]"
-    own = {
+    none = "CAST([] AS VARCHAR[])"
+    own = dict.fromkeys(("subtopic", "geography_vintage", "derivation_mode", "binding_status", "has_alternatives"), none) | {
         "source_surface": one("source_surface"), "record_type": one("record_type"), "topic": "topics", "state": one("state"), "frequency": "[CAST(NULL AS VARCHAR)]",
         "population_type": one("population_type"), "source_publisher": one("publisher_title"), "unit_of_measure": one("unit_of_measure"), "geography_level": "area_served",
         "metadata_evidence_band": f"[CASE WHEN {SCORE_SQL} >= 0.8 THEN 'high' WHEN {SCORE_SQL} >= 0.55 THEN 'medium' ELSE 'low' END]", "has_methodology": "['no']",
