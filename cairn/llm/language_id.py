@@ -18,10 +18,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.common import column, held_out, rows_of, table
+from cairn.scratch import broadcast_if
 
 DIMENSIONS = 4096
 UNKNOWN = "und"
@@ -100,20 +101,21 @@ def train(tf: np.ndarray, langs: list[str], per_language: int = 4, slack: float
 
 
 def fit(docs: DataFrame, max_rows: int = 2_000, where: Column | None = None, text_col: str = "text", lang_col: str = "lang") -> Centroids:
-    """Learn from about ``max_rows`` labelled texts, as many of each language; only their n-gram counts reach the driver.
+    """Learn from about ``max_rows`` labelled texts, as many of each language, and one at least of every language; only their n-gram counts reach the driver.
 
-    A text is drawn by its hash, with a chance that follows from the rows of its language; drawn more than once it counts once.
+    Of a language those distinct texts are drawn whose hashes are least, so one whose rows are nearly all copies is learnt from what texts it has.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if where is not None:
         known = known.where(where)
-    sizes = {r[0]: r[1] for r in known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(max_rows).collect()}
-    if not sizes:
+    known = known.select(F.col(lang_col).alias("lang"), F.xxhash64(F.lit("sample"), text_col).alias("draw"), F.col(text_col).alias("text"))
+    draws = known.select("lang", "draw").distinct()
+    languages = draws.select("lang").distinct().count()
+    if not languages:
         return Centroids()
-    each = max(1, max_rows // len(sizes))
-    chance = F.create_map(*(F.lit(v) for name, n in sizes.items() for v in (name, min(1.0, each / n))))
-    draw = F.pmod(F.xxhash64(F.lit("sample"), text_col), F.lit(1_000_000)) / 1_000_000.0
-    sample = known.where(draw < F.try_element_at(chance, F.col(lang_col))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = draws.withColumn("place", place).where(F.col("place") <= max(1, max_rows // languages)).drop("place")
+    sample = known.join(broadcast_if(drawn, 20_000), ["lang", "draw"]).dropDuplicates(["lang", "draw"]).select("lang", "text")
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in rows_of(batches, "text"):

@@ -88,6 +88,18 @@ def test_sample_of_languages(spark):
     assert got["rare 7"] == "xx" and got[wide] == "yy" and got[None] == "und"
 
 
+def test_a_language_of_copies_is_learnt(spark):
+    """20,000 rows of two texts beside ordinary ones, and more languages than texts are asked for."""
+    copies = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, "zażółć gęślą jaźń").otherwise("pchnąć w tę łódź jeża").alias("text"), F.lit("pl").alias("lang"))
+    english = spark.createDataFrame([(f"the {k} quick brown foxes jump over {k * 7} lazy dogs", "en") for k in range(3000)], "text string, lang string")
+    model = language_id.fit(copies.unionAll(english).repartition(5), max_rows=400)
+    assert model.languages == ["en", "pl"]
+    got = language_id.predict(copies.limit(2).withColumn("doc_id", F.lit(1)), model).select("lang_pred").distinct().collect()
+    assert [r[0] for r in got] == ["pl"]
+    many = spark.createDataFrame([(f"{chr(0x4E00 + k)} {k}", f"l{k:02d}") for k in range(30)], "text string, lang string")
+    assert len(language_id.fit(many, max_rows=10).languages) == 30
+
+
 def test_sample_of_labels_has_one_text_for_each_id(spark):
     docs = spark.createDataFrame([(k % 10, f"text {k}") for k in range(500)] + [(3, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(10)] + [(0, 1), (None, 1), (4, None)], "doc_id long, quality int")
