@@ -39,7 +39,7 @@ def test_all_queries_are_known():
     known = __spark_entry__.queries()
     assert set(SQL) <= set(known)
     if "pipeline" in known:
-        assert [sum(n.startswith(f"op{k}_") for n in known) for k in range(1, 11)] == [1] * 10
+        assert [sum(n.startswith(f"op{k}_") for n in known) for k in range(1, 14)] == [1] * 13
 
 
 def test_entry(spark):
