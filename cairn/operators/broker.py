@@ -87,11 +87,15 @@ def search(records: DataFrame, query: str, source: str | None = None, limit: int
     return index.ranked(own, query, limit)
 
 
+def with_binding(records: DataFrame, *content: str) -> DataFrame:
+    """Records with ``binding_sha256``, the digest of their content (all columns, if none are named) as canonical JSON: fields in the order of their names, null ones included."""
+    whole = F.to_json(F.to_variant_object(F.struct(*(content or records.columns))))
+    return records.withColumn("binding_sha256", F.sha2(whole, 256))
+
+
 def hydrate(records: DataFrame, identifier: str) -> DataFrame:
-    """One whole record with a digest of its content; keys are sorted by the variant's text form."""
-    own = records.where(F.col("id") == resolve(records, identifier))
-    whole = F.to_json(F.to_variant_object(F.struct(*own.columns)))
-    return own.withColumn("binding_sha256", F.sha2(whole, 256))
+    """One whole record with a digest of its content."""
+    return with_binding(records.where(F.col("id") == resolve(records, identifier)))
 
 
 def plan(records: DataFrame, proposed: DataFrame, available: Column) -> DataFrame:

@@ -54,6 +54,19 @@ def browser_rank_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broker.retained(ranked, alternatives(own))
 
 
+def json_text(column: str) -> str:
+    return f"""CASE WHEN {column} IS NULL THEN 'null' ELSE '"' || {column} || '"' END"""
+
+
+@query(
+    f"""WITH {sql.records('parts', 'suppliers', 'customers')} SELECT id, sha256('{{"id":' || {json_text('id')} || ',"measure":' || {json_text('measure')} || ',"native_id":' || {json_text('native_id')} || ',"title":' || {json_text('title')} || '}}') AS binding_sha256 FROM r"""
+)
+def binding_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of what records of the tables of business are bound by."""
+    own = records(spark, sf_dir, "parts", "suppliers", "customers")
+    return broker.with_binding(own, "title", "id", "native_id", "measure").select("id", "binding_sha256")
+
+
 #: Argument names and texts that callers might send, most of which are refused.
 NAMES = ("query", "source", *broker.FORBIDDEN, "Chain-of-Thought", "API Key", "observed", "monkey", "analysis", "raw-chain-of-thought", " ChainOfThought ")
 TEXTS = (

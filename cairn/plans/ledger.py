@@ -165,18 +165,17 @@ def foreign_key_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.orphans(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), parents, "o_custkey", "c_custkey")
 
 
-#: Planes of the publication and what they depend on.
-PLANES = {
-    "semantic": ["source"], "runtime": ["semantic"], "documentation": ["source"], "application": ["runtime"], "browser": ["application", "documentation"],
-    "release": ["runtime", "documentation", "browser"], "deployment": ["release"],
-}
-EDGES = [(a, b) for a, needs in PLANES.items() for b in needs]
+#: A brand needs the types of its parts, a type their sizes by remainder, and the size of two the first brand, which closes a cycle.
+NEEDS_SQL = """e AS (SELECT DISTINCT p_brand AS node, p_type AS needs FROM part UNION SELECT p_type, 'size ' || p_size % 3 FROM part UNION SELECT 'size 2', min(p_brand) FROM part)"""
 
 
-@query("WITH RECURSIVE e(node, needs) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in EDGES) + "), r(node, needs) AS (SELECT node, needs FROM e UNION SELECT r.node, e.needs FROM r JOIN e ON e.node = r.needs) SELECT node, needs, node = needs AS cyclic FROM r")
+@query(f"WITH RECURSIVE {NEEDS_SQL}, r(node, needs) AS (SELECT node, needs FROM e UNION SELECT r.node, e.needs FROM r JOIN e ON e.node = r.needs) SELECT node, needs, node = needs AS cyclic FROM r")
 def dag_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = spark.createDataFrame(EDGES, "node string, needs string")
-    return validate.reachable(edges).withColumn("cyclic", F.col("node") == F.col("needs"))
+    """What brands, types and sizes of parts need, directly or not; a node that needs itself lies on a cycle."""
+    part = table(spark, sf_dir, "part")
+    pairs = part.select(F.col("p_brand").alias("node"), F.col("p_type").alias("needs")).unionAll(part.select("p_type", F.concat(F.lit("size "), (F.col("p_size") % 3).cast("string"))))
+    first = part.agg(F.min("p_brand").alias("needs")).select(F.lit("size 2").alias("node"), "needs").where("needs IS NOT NULL")
+    return validate.reachable(pairs.unionAll(first)).withColumn("cyclic", F.col("node") == F.col("needs"))
 
 
 @query("WITH p AS (SELECT label, CAST(embedding[1] AS DOUBLE) * 500 AS x, CAST(embedding[2] AS DOUBLE) * 250 AS y FROM embeddings) SELECT label, count(*) AS n, min(x) AS west, min(y) AS south, max(x) AS east, max(y) AS north FROM p WHERE abs(x) <= 180 AND abs(y) <= 90 GROUP BY label")
