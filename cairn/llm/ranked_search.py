@@ -34,7 +34,7 @@ SEGMENT_TERMS = 4_000_000
 ITEMS = 1_000
 TOP = 10
 #: Ranges whose documents are scored together, between two looks at the threshold.
-STEP = 16
+STEP = 32
 SALTS = 64
 #: Query terms that are broadcast; more meet the postings in a salted join.
 BROADCAST_ROWS = 200_000
@@ -213,16 +213,19 @@ class Search:
         theta = max(self.threshold(), 0)
         docs, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         pending = np.flatnonzero(bounds > theta)
-        while len(pending):
-            step, pending = pending[:STEP], pending[STEP:]
+        # the ranges of the greatest bounds come first, since the threshold that they give lets most others be passed over; the rest follow in order
+        step = np.sort(pending[np.argsort(-bounds[pending], kind="stable")[:STEP]])
+        pending = np.setdiff1d(pending, step)
+        while len(step):
             found, sums = self.score(edges[step], edges[step + 1], theta)
             docs, scores = np.concatenate([docs, found]), np.concatenate([scores, sums])
             if len(docs) > self.top:
                 order = np.lexsort((docs, -scores))[: self.top]
                 docs, scores = docs[order], scores[order]
-            if len(docs) == self.top and scores.min() > theta:
-                theta = int(scores.min())
-                pending = pending[bounds[pending] > theta]  # documents of later ranges are larger: an equal score is not better
+            if len(docs) == self.top and scores.min() - 1 > theta:
+                theta = int(scores.min()) - 1  # an equal score of a smaller document is better
+                pending = pending[bounds[pending] > theta]
+            step, pending = pending[:STEP], pending[STEP:]
         kept = scores > 0
         order = np.lexsort((docs[kept], -scores[kept]))
         return docs[kept][order], scores[kept][order]
