@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairn.functions import shapes as s
-from cairn.operators import validate
+from cairn.operators import joins, validate
 from cairn.operators.gaps import evidence_score
 from cairn.operators.index import facet_values
 from cairn.plans import sql
@@ -95,10 +95,7 @@ def facet_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT (SELECT count(*) FROM (SELECT DISTINCT doc_id FROM documents)) AS known, count(*) FILTER (d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL) AS matched, count(*) FILTER (l.doc_id IS NULL) AS missing, count(*) FILTER (d.doc_id IS NULL) AS unknown, count(*) FILTER (d.doc_id IS NULL OR l.doc_id IS NULL) = 0 AS equal FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
 def key_set_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether documents and labels have the same ids, and how many either lacks."""
-    a, b = (table(spark, sf_dir, t).select("doc_id").distinct() for t in ("documents", "labels"))
-    both = a.withColumn("a", F.lit(True)).join(b.withColumn("b", F.lit(True)), "doc_id", "full")
-    there = F.col("a").isNotNull() & F.col("b").isNotNull()
-    return both.agg(F.count("a").alias("known"), F.count_if(there).alias("matched"), F.count_if(F.col("b").isNull()).alias("missing"), F.count_if(F.col("a").isNull()).alias("unknown"), F.bool_and(there).alias("equal"))
+    return joins.key_sets(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 4 = 0 THEN 'new ' || o_orderstatus END, o_orderstatus) AS status, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderpriority END IS NULL AS overlaid FROM orders")
@@ -106,7 +103,7 @@ def enrichment_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of an enrichment laid over the base rows: all base rows stay, and a missing value doesn't replace one."""
     base = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     extra = base.where("o_orderkey % 2 = 0").select("o_orderkey", F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("new "), "o_orderstatus")).alias("value"))
-    return base.join(extra, "o_orderkey", "left").select("o_orderkey", F.coalesce("value", "o_orderstatus").alias("status"), F.col("value").isNotNull().alias("overlaid"))
+    return joins.overlaid(base.withColumnRenamed("o_orderstatus", "status"), extra, "o_orderkey", "status")
 
 
 @query(f"WITH {sql.records('suppliers', 'customers')}, k AS (SELECT 'suppliers:' || s_suppkey AS key, s_name AS entry FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'by own id ' || c_custkey FROM customer WHERE c_custkey % 3 = 0) SELECT r.id, coalesce(a.entry, b.entry) AS entry FROM r LEFT JOIN k a ON a.key = r.id LEFT JOIN k b ON b.key = r.native_id")
@@ -115,10 +112,7 @@ def entry_by_either_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = records(spark, sf_dir, "suppliers", "customers").select("id", "native_id")
     first = table(spark, sf_dir, "supplier").where("s_suppkey % 2 = 0").select(F.concat(F.lit("suppliers:"), F.col("s_suppkey").cast("string")).alias("key"), F.col("s_name").alias("entry"))
     second = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("key"), F.concat(F.lit("by own id "), F.col("c_custkey").cast("string")).alias("entry"))
-    entries = first.unionAll(second)
-    by_id = entries.select(F.col("key").alias("id"), F.col("entry").alias("by_id"))
-    by_native = entries.select(F.col("key").alias("native_id"), F.col("entry").alias("by_native"))
-    return own.join(by_id, "id", "left").join(by_native, "native_id", "left").select("id", F.coalesce("by_id", "by_native").alias("entry"))
+    return joins.by_either_key(own, first.unionAll(second), "id", "native_id").select("id", "entry")
 
 
 ALLOWED = [("click", "live"), ("view", "live"), ("view", "cached"), ("signup", "live"), ("purchase", "cached"), ("error", "none")]
@@ -128,23 +122,22 @@ TRANSPORT = "CASE event_id % 3 WHEN 0 THEN 'live' WHEN 1 THEN 'cached' ELSE 'non
 @query(f"SELECT event_id, event_type AS state, {TRANSPORT} AS transport FROM events WHERE (event_type, {TRANSPORT}) NOT IN ({', '.join(map(str, ALLOWED))})")
 def forbidden_transports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose state doesn't allow their transport."""
-    allowed = F.broadcast(spark.createDataFrame(ALLOWED, "state string, transport string"))
     own = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("state"), F.expr(TRANSPORT).alias("transport"))
-    return own.join(allowed, ["state", "transport"], "left_anti").select("event_id", "state", "transport")
+    return joins.not_allowed(own, spark.createDataFrame(ALLOWED, "state string, transport string"), "state", "transport").select("event_id", "state", "transport")
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderpriority LIKE '1%' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber > 1)")
 def critical_without_remedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Critical issues without a remediation of the first priority: urgent orders with no second line."""
     critical = table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%'").select("o_orderkey")
-    remedies = table(spark, sf_dir, "lineitem").where("l_linenumber > 1").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    return critical.join(remedies, "o_orderkey", "left_anti")
+    remedies = table(spark, sf_dir, "lineitem").where("l_linenumber > 1").select(F.col("l_orderkey").alias("o_orderkey"))
+    return joins.without_counterpart(critical, remedies, "o_orderkey")
 
 
 @query("SELECT query_id, rule FROM (SELECT c.conv_id AS query_id, 'duplicate id' AS rule FROM conversations c GROUP BY c.conv_id, lower(role) HAVING count(*) > 1 UNION SELECT conv_id, 'status' FROM conversations WHERE turn % 4 = 3 UNION SELECT conv_id, 'evidence' FROM conversations WHERE turn % 2 = 0 AND conv_id % 3 = 0)")
 def ranking_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules on submitted rankings: results once each, statuses known, evidence for each claim. Conversations stand for rankings, roles for results."""
     own = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("query_id"), F.lower("role").alias("result"), F.when(F.col("turn") % 4 == 3, "certified").otherwise("aligned").alias("status"), F.when(~((F.col("turn") % 2 == 0) & (F.col("conv_id") % 3 == 0)), "there").alias("evidence"))
-    twice = own.groupBy("query_id", "result").count().where("count > 1").select("query_id", F.lit("duplicate id").alias("rule"))
+    twice = joins.repeated(own, "query_id", "result").select("query_id", F.lit("duplicate id").alias("rule"))
     rules = {"status": F.col("status").isin(*s.STATUSES), "evidence": F.col("evidence").isNotNull()}
     return twice.unionAll(validate.violations(own, "query_id", rules)).distinct()
