@@ -37,10 +37,10 @@ def digest_tree(rows: DataFrame, key: Column, content: Column) -> Tree:
     for digits in LEVELS:
         own = F.transform(F.sort_array(F.collect_list(F.struct("prefix", "digest"))), lambda x: x["digest"])
         below = below.groupBy("file", F.left("prefix", F.lit(digits)).alias("prefix")).agg(F.sha2(F.array_join(own, ","), 256).alias("digest"), F.sum("n").alias("n"))
-        if digits == LEVELS[0]:  # the largest level; what stands above is worked out from it when it is read
+        if digits == LEVELS[0]:  # the largest level, from which those above are worked out
             below = materialize(below, "nodes")
         levels.append(below.select("file", F.lit(digits).alias("digits"), "prefix", "digest", "n"))
-    return Tree(leaves, reduce(DataFrame.unionAll, levels))
+    return Tree(leaves, materialize(reduce(DataFrame.unionAll, levels), "tree"))
 
 
 def unequal(before: DataFrame, after: DataFrame, on: list[str]) -> DataFrame:
