@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,18 +20,92 @@ from cairn.scratch import broadcast_if
 CUTOFFS, EXPOSED_BY = (1, 3, 5, 10), 5
 
 
+class Suite:
+    """Queries as a matrix: which of the suite's terms each one has."""
+
+    #: Most rows of records that are held against the queries at once, and queries a matrix.
+    ROWS, QUERIES = 512, 512
+
+    def __init__(self, queries: list[tuple[object, list[str]]]) -> None:
+        self.ids = [q for q, _ in queries]
+        self.terms = pa.array(sorted({t for _, ts in queries for t in ts}), pa.string())
+        places = {t: k for k, t in enumerate(self.terms.to_pylist())}
+        self.has = [np.array(sorted({places[t] for t in ts}), np.int64) for _, ts in queries]
+
+    def blocks(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first query, the terms that a block's queries have, queries by those terms)."""
+        for first in range(0, len(self.has), self.QUERIES):
+            own = self.has[first : first + self.QUERIES]
+            used = np.unique(np.concatenate([*own, np.zeros(0, np.int64)]))
+            wanted = np.zeros((len(own), len(used)), np.float32)
+            for k, terms in enumerate(own):
+                wanted[k, np.searchsorted(used, terms)] = 1
+            yield first, used, wanted
+
+    def weights(self, fields: list[tuple[int, pa.ListArray]], rows: int) -> np.ndarray:
+        """Records by terms: the sum of weights of the fields that hold a term."""
+        out = np.zeros((rows, len(self.terms)), np.float32)
+        for weight, lists in fields:
+            at = pc.index_in(lists.flatten(), value_set=self.terms)
+            row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+            known = at.is_valid().to_numpy(zero_copy_only=False)
+            np.add.at(out, (row[known], at.drop_null().to_numpy(zero_copy_only=False)), weight)  # once a field, but for rows that were put together
+        return out
+
+
+def best_of(suite: Suite, weights: list[int], depth: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best rows of a task for each query: (query, matched, score, low, id). Batches hold id, low and one list of tokens for each weight."""
+    blocks = list(suite.blocks())
+    best: list[list[tuple[int, int, bool, str, bool, str]]] = [[] for _ in suite.ids]
+    least = np.zeros((len(suite.ids), 2), np.float32)  # matched and score that a row must reach
+    size = max(16, min(suite.ROWS, (1 << 24) // (len(suite.terms) + 1)))
+    for batch in (b.slice(k, size) for b in batches for k in range(0, b.num_rows, size)):
+        held = suite.weights([(w, batch.column(2 + k)) for k, w in enumerate(weights)], batch.num_rows)
+        for first, used, wanted in blocks:
+            own = held[:, used]
+            matched, score = (own > 0).astype(np.float32) @ wanted.T, own @ wanted.T
+            m, s = least[first : first + len(wanted)].T
+            rows, queries = np.nonzero((matched > 0) & ((matched > m) | ((matched == m) & (score >= s))))
+            if not len(rows):
+                continue
+            low, ids = batch.column(1).take(pa.array(rows)).to_pylist(), batch.column(0).take(pa.array(rows)).to_pylist()
+            for q, x, y, name, key in zip((first + queries).tolist(), matched[rows, queries].tolist(), score[rows, queries].tolist(), low, ids, strict=True):
+                best[q].append((-int(x), -int(y), name is not None, name or "", key is not None, key or ""))
+            for q in np.unique(first + queries).tolist():
+                best[q] = sorted(best[q])[:depth]
+                if len(best[q]) == depth:
+                    least[q] = -best[q][-1][0], -best[q][-1][1]
+    found = [(q, -m, -s, low if there else None, key if known else None) for q, rows in enumerate(best) for m, s, there, low, known, key in rows]
+    columns = zip(*found, strict=True) if found else [()] * 5
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string())
+    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["q", "matched", "score", "low", "id"])
+
+
 def run(records: DataFrame, suite: DataFrame, depth: int = 10) -> DataFrame:
     """(query_id, id, rank): the best records for each query of a suite, by distinct terms, then weights, then title and id.
 
-    A suite of up to 20,000 terms is broadcast; then only rows of records that hold one of them are shuffled.
+    The suite is a parameter that every task has whole. Records are scored where they are read, and each task hands on its best rows of each query alone.
     """
-    terms = suite.select("query_id", F.explode("terms").alias("token"))
-    fields = F.array(*(F.struct(F.lit(WEIGHTS[f]).alias("w"), search_tokens(F.coalesce(c, F.lit(""))).alias("t")) for f, c in search_fields().items()))
-    rows = records.select("id", F.lower("title").alias("low"), F.explode(fields).alias("f")).select("id", "low", "f.w", F.explode("f.t").alias("token"))
-    hits = rows.join(broadcast_if(terms, 20_000), "token").groupBy("query_id", "id", "low", "token").agg(F.sum("w").alias("w"))
-    scored = hits.groupBy("query_id", "id", "low").agg(F.count(F.lit(1)).alias("matched"), F.sum("w").alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("matched"), F.desc("score"), "low", "id")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= depth).select("query_id", "id", "rank")
+    spark = records.sparkSession
+    rows = suite.groupBy("query_id").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms")).orderBy("query_id").collect()  # the suite's size
+    queries = Suite([(r["query_id"], [t for t in r["terms"] or [] if t is not None]) for r in rows])
+    shared, fields = spark.sparkContext.broadcast(queries), search_fields()
+    weights = [WEIGHTS[f] for f in fields]
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return best_of(shared.value, weights, depth, batches)
+
+    tokens = [search_tokens(F.coalesce(c, F.lit(""))).alias(f"t{k}") for k, c in enumerate(fields.values())]
+    each = records.select("id", F.lower("title").alias("low"), *tokens)
+    twice = each.groupBy("id", "low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_id"), F.col("low").alias("_low"))
+    twice = broadcast_if(twice, 200_000)  # a record that is given twice counts once, with the weights of both
+    same = F.col("id").eqNullSafe(F.col("_id")) & F.col("low").eqNullSafe(F.col("_low"))
+    whole = each.join(twice, same, "left_semi").groupBy("id", "low").agg(*(F.flatten(F.collect_list(f"t{k}")).alias(f"t{k}") for k in range(len(weights))))
+    hits = each.join(twice, same, "left_anti").unionByName(whole).mapInArrow(task, "q int, matched int, score bigint, low string, id string")
+    best = Window.partitionBy("q").orderBy(F.desc("matched"), F.desc("score"), "low", "id")
+    top = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= depth)
+    names = spark.createDataFrame([(k, q) for k, q in enumerate(queries.ids)], f"q int, query_id {suite.schema['query_id'].dataType.simpleString()}")
+    return top.join(F.broadcast(names), "q").select("query_id", "id", "rank")
 
 
 def gain(grade: Column, rank: Column) -> Column:
