@@ -110,7 +110,7 @@ def canonical_text(rows: DataFrame, key: str, doc: str) -> DataFrame:
     found = levels(rows, key, doc)
     inner: DataFrame | None = None
     for level in reversed(found):
-        own = level.join(inner, [key, "at"], "left") if inner is not None else level.withColumns({"parts": F.lit(None).cast("array<string>")})
+        own = level.join(inner.hint("merge"), [key, "at"], "left") if inner is not None else level.withColumns({"parts": F.lit(None).cast("array<string>")})
         listed = F.coalesce(F.array_join("parts", ","), F.lit(""))
         text = F.when(F.col("kind") == "OBJECT", F.concat(F.lit("{"), listed, F.lit("}"))).when(F.col("kind") == "ARRAY", F.concat(F.lit("["), listed, F.lit("]"))).otherwise(F.to_json("value"))
         texts = own.select(key, "at", "name", text.alias("text"))
