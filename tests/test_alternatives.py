@@ -42,3 +42,11 @@ def test_few_candidates_go_on(spark):
     pairs = each.alias("a").join(each.alias("b"), "token").where(F.col("a.id") < F.col("b.id"))
     kept = pairs.where(relate.may_reach(relate.THRESHOLD)).select("a.id", "b.id").distinct().count()
     assert kept * 4 < pairs.count()
+
+
+def test_pairs_carry_no_tokens(spark):
+    """Only rows that stay meet the tokens themselves: pairs are scored and ranked by hashes."""
+    plan = relate.alternatives(made(spark)[0])._jdf.queryExecution().optimizedPlan().toString()
+    ranked = plan[plan.index("Window [row_number") :]
+    ranked = ranked[: ranked.index("Relation [")]
+    assert "array_intersect" in ranked and "array_sort" not in ranked
