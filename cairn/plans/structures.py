@@ -102,8 +102,10 @@ def version_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber", F.when(part % 5 != 0, F.concat(F.lit(" d"), (part % 3).cast("string"))).alias("id"), F.when(part % 7 == 1, "<b>Geography</b>").when(part % 5 != 0, "n").alias("name"), F.lit("").alias("label"), F.lit("about").alias("description"),
         F.lit("https://h.example/d").alias("href"), F.when(F.col("l_linenumber") % 4 != 0, F.col("l_linenumber") % 2 == 0).alias("is_area_type"), F.when(part % 9 == 0, -1).otherwise(part).cast("bigint").alias("number_of_options"),
     )
-    own = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(d)).alias("raw"))
-    own = own.select("o_orderkey", structures.version_dimensions(F.col("raw")).alias("every")).select("o_orderkey", structures.first_named(F.col("every")).alias("d")).where(F.size("d") > 0)
+    each = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", structures.version_dimension(d).alias("x"))
+    kept = F.struct("l_linenumber", *(F.col(f"x.{c}").alias(c) for c in ("id", "name", "label", "is_area_type", "number_of_options")))
+    own = each.groupBy("o_orderkey").agg(F.slice(F.sort_array(F.collect_list(kept)), 1, structures.MOST_DIMENSIONS).alias("every"))
+    own = own.select("o_orderkey", structures.first_named(F.col("every")).alias("d")).where(F.size("d") > 0)
     names = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("/", F.coalesce(x["id"], F.lit("")), F.coalesce(x["name"], F.lit("")))), ",")
     options = F.aggregate("d", F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x["number_of_options"], F.lit(0)))
     return own.select("o_orderkey", F.size("d").alias("dimensions"), names(F.col("d")).alias("names"), names(structures.area_dimensions(F.col("d"))).alias("areas"), options.alias("options"))

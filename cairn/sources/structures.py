@@ -84,17 +84,18 @@ def codelist_evidence(rows: DataFrame, codelists: str) -> DataFrame:
     return own.drop("lists", "freq", "time", "labels", "available", "form")
 
 
-def version_dimensions(raw: Column) -> Column:
-    """Dimensions of a version, the first hundred at most: of those with the same id, name and label the first, and none without all three. Counts of options must be plausible."""
-    text = lambda d, name, limit: F.nullif(plain_text(F.coalesce(d[name], F.lit("")), limit), F.lit(""))
-    own = F.transform(
-        F.slice(raw, 1, MOST_DIMENSIONS),
-        lambda d: F.struct(
-            text(d, "id", 300).alias("id"), text(d, "name", 300).alias("name"), text(d, "label", 500).alias("label"), text(d, "description", 5_000).alias("description"), safe_public_url(d["href"]).alias("href"), d["is_area_type"].alias("is_area_type"),
-            F.when(d["number_of_options"].between(0, MOST_OPTIONS), d["number_of_options"]).alias("number_of_options"),
-        ),
+def version_dimension(d: Column) -> Column:
+    """A dimension of a version with plain texts, a public link and a plausible count of options."""
+    text = lambda name, limit: F.nullif(plain_text(F.coalesce(d[name], F.lit("")), limit), F.lit(""))
+    return F.struct(
+        text("id", 300).alias("id"), text("name", 300).alias("name"), text("label", 500).alias("label"), text("description", 5_000).alias("description"), safe_public_url(d["href"]).alias("href"), d["is_area_type"].alias("is_area_type"),
+        F.when(d["number_of_options"].between(0, MOST_OPTIONS), d["number_of_options"]).alias("number_of_options"),
     )
-    return own
+
+
+def version_dimensions(raw: Column) -> Column:
+    """Dimensions of a version, the first hundred at most. Where they come as rows, ``version_dimension`` is worked out before they are put together."""
+    return F.transform(F.slice(raw, 1, MOST_DIMENSIONS), version_dimension)
 
 
 def first_named(own: Column) -> Column:
