@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.operators import ledger
-from cairn.operators.validate import schema_rules, violations
+from cairn.operators.validate import schema_rules
 from cairn.operators.variants import kind_of
 from cairn.scratch import materialize
 
@@ -51,14 +52,35 @@ def pinned(schemas: DataFrame, key: str, text: str, digests: dict[str, str]) ->
     return both.where(~F.col("digest").eqNullSafe(F.col("expected"))).select(key, "digest", "expected")
 
 
+#: Rules whose outcomes one whole number holds.
+RULES = 60
+
+
 def assertion_faults(assertions: DataFrame, schema: dict[str, Any]) -> DataFrame:
-    """(plane, id, rule) of assertions (plane, doc), each a variant with an ``@id``: rules of the schema that they break, and identities that a plane has twice."""
-    own = assertions.select("plane", F.coalesce(F.try_variant_get("doc", "$['@id']", "string"), F.lit("")).alias("id"), "doc")
-    twice = own.groupBy("plane", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("plane", "id", F.lit("identity occurs twice").alias("rule"))
-    broken = violations(own.withColumn("key", F.struct("plane", "id")), "key", schema_rules(schema, F.col("doc"))).select("key.plane", "key.id", "rule")
-    return twice.unionAll(broken.distinct())
+    """(plane, id, rule) of assertions (plane, doc), each a variant with an ``@id``: rules of the schema that they break, and identities that a plane has twice.
+
+    An assertion of several planes may come once, with a list ``planes``: it is judged once. One grouping by identity counts assertions and
+    joins what they break, kept as bits; documents themselves are not shuffled.
+    """
+    rules = schema_rules(schema, F.col("doc"))
+    names = [list(rules)[k : k + RULES] for k in range(0, len(rules), RULES)]
+    bits = lambda part: reduce(or_bits, (F.when(F.coalesce(rules[name], F.lit(False)), 0).otherwise(1 << k) for k, name in enumerate(part)), F.lit(0).cast("long"))
+    plane = F.explode("planes").alias("plane") if "planes" in assertions.columns else F.col("plane")
+    judged = assertions.select(plane, F.coalesce(F.try_variant_get("doc", "$['@id']", "string"), F.lit("")).alias("id"), *(bits(part).alias(f"b{k}") for k, part in enumerate(names)))
+    own = judged.groupBy("plane", "id").agg(F.count(F.lit(1)).alias("n"), *(F.bit_or(f"b{k}").alias(f"b{k}") for k in range(len(names))))
+    wrong = reduce(or_, (F.col(f"b{k}") != 0 for k in range(len(names))), F.col("n") > 1)
+    told = [F.when(F.col("n") > 1, "identity occurs twice")]
+    told += [F.when(F.col(f"b{k}").bitwiseAND(F.lit(1 << i)) != 0, name) for k, part in enumerate(names) for i, name in enumerate(part)]
+    return own.where(wrong).select("plane", "id", F.explode(F.array_compact(F.array(*told))).alias("rule"))
+
+
+def or_bits(a: Column, b: Column) -> Column:
+    return a.bitwiseOR(b)
 
 
 def identity_sets(assertions: DataFrame) -> DataFrame:
-    """(plane, n, digest) of the set of identities of each plane; equal planes have equal rows."""
+    """(plane, n, digest) of the set of identities of each plane; equal planes have equal rows. As in ``assertion_faults``, an assertion may have a list of planes."""
+    if "planes" in assertions.columns:
+        assertions = assertions.select(F.explode("planes").alias("plane"), F.try_variant_get("doc", "$['@id']", "string").alias("id"))
+        return ledger.set_digest(assertions, "plane", F.coalesce("id", F.lit("")))
     return ledger.set_digest(assertions, "plane", F.coalesce(F.try_variant_get("doc", "$['@id']", "string"), F.lit("")))

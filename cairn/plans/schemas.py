@@ -62,10 +62,9 @@ MADE = f"""concat('{{"@id":"', {ID}, '","source":"', CASE WHEN l_suppkey % 7 = 1
 
 
 def assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as assertions of two planes; the runtime plane lacks those of returned items."""
-    own = table(spark, sf_dir, "lineitem").select("l_returnflag", F.parse_json(F.expr(MADE)).alias("doc"))
-    both = own.select(F.lit("semantic").alias("plane"), "doc").unionAll(own.where("l_returnflag <> 'R'").select(F.lit("runtime").alias("plane"), "doc"))
-    return both
+    """Line items as assertions of two planes; the runtime plane lacks those of returned items. Each is read and parsed once."""
+    planes = F.when(F.col("l_returnflag") != "R", F.array(F.lit("semantic"), F.lit("runtime"))).otherwise(F.array(F.lit("semantic")))
+    return table(spark, sf_dir, "lineitem").select(planes.alias("planes"), F.parse_json(F.expr(MADE)).alias("doc"))
 
 
 PLANES_SQL = f"""l AS (SELECT *, {ID} AS id FROM lineitem), p AS (SELECT 'semantic' AS plane, * FROM l UNION ALL SELECT 'runtime', * FROM l WHERE l_returnflag <> 'R')"""

@@ -51,3 +51,17 @@ def test_assertions(spark):
     assert sorted(map(tuple, schemas.assertion_faults(rows, schema).collect())) == [("r", "2", "$:required target"), ("s", "", "$.target:type"), ("s", "", "$:required @id"), ("s", "1", "$.target:required @id"), ("s", "1", "identity occurs twice")]
     sets = {r.plane: (r.n, r.digest) for r in schemas.identity_sets(rows.where("plane = 'r'").unionAll(rows.where("plane = 'r'").withColumn("plane", F.lit("again")))).collect()}
     assert sets["r"] == sets["again"] and sets["r"][0] == 2
+
+
+def test_assertions_of_several_planes_come_once(spark):
+    schema = {"type": "object", "required": [f"r{k}" for k in range(70)], "properties": {"@id": {"pattern": "^u"}}}
+    docs = [(["s", "r"], {"@id": "u1", **{f"r{k}": 1 for k in range(70) if k not in (0, 59, 60, 69)}}), (["s"], {"@id": "u1", **{f"r{k}": 1 for k in range(70)}}), (["s", "r"], {"@id": "x", **{f"r{k}": 1 for k in range(70)}})]
+    rows = spark.createDataFrame([(p, json.dumps(d)) for p, d in docs], "planes array<string>, text string").select("planes", F.parse_json("text").alias("doc"))
+    each = rows.select(F.explode("planes").alias("plane"), "doc")
+    want = [(p, "u1", f"$:required r{k}") for p in "rs" for k in (0, 59, 60, 69)] + [("s", "u1", "identity occurs twice"), ("r", "x", "$.@id:pattern"), ("s", "x", "$.@id:pattern")]
+    for given in (rows, each):
+        found = schemas.assertion_faults(given, schema)
+        assert sorted(map(tuple, found.collect())) == sorted(want)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+    assert sorted(map(tuple, schemas.identity_sets(rows).collect())) == sorted(map(tuple, schemas.identity_sets(each).collect()))
+    assert schemas.identity_sets(rows)._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 4
