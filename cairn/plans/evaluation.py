@@ -30,17 +30,16 @@ def spaced(text: Column) -> Column:
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a passage's words in a row, graded by their label.
 
-    A document is tested only against passages whose rarest word it holds, so that no table meets all rows of another.
+    A document is tested, in the row where it is read, only against passages whose rarest word it holds: no text is shuffled. Every task holds the suite.
     """
     own = suite(spark, sf_dir).select("query_id", spaced(F.col("passage")).alias("passage")).where("passage <> '  '")
     docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("documents:"), F.col("doc_id").cast("string")).alias("id"), "doc_id", spaced(F.col("text")).alias("text"))
     words = lambda c: F.explode(F.array_distinct(F.split(F.trim(c), " "))).alias("word")
     wanted = own.select("query_id", words("passage"))
-    holders = materialize(docs.select("doc_id", words("text")).join(broadcast_if(wanted.select("word").distinct(), 200_000), "word"), "holders")
-    often = holders.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    often = docs.select(words("text")).join(broadcast_if(wanted.select("word").distinct(), 200_000), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     rarest = wanted.join(often, "word").groupBy("query_id").agg(F.min(F.struct("n", "word")).alias("r")).select("query_id", F.col("r.word").alias("word"))
-    near = holders.join(rarest, "word").select("query_id", "doc_id").join(own, "query_id")
-    held = docs.join(near, "doc_id").where(F.contains("text", "passage")).select("query_id", "id", "doc_id")
+    near = docs.select("*", words("text")).join(F.broadcast(materialize(rarest.join(own, "query_id"), "rarest")), "word")
+    held = materialize(near.where(F.contains("text", "passage")).select("query_id", "id", "doc_id"), "held")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     graded = held.join(labels, "doc_id", "left").select("query_id", "id", F.when(F.col("quality") == 1, 3).when(F.col("quality") == 0, 1).otherwise(2).alias("grade"))
     first = graded.groupBy("query_id").agg(F.min(F.struct((-F.col("grade")).alias("g"), "id")).alias("b")).select("query_id", F.col("b.id").alias("best"))
